@@ -29,7 +29,7 @@ from .bpe import default_path, split_words
 from .common import durable, id_text, map_arrow, map_pandas, new_dir, table
 from .files import get, pack, put, unpack
 from .fingerprint import _bucket
-from .words import Memo
+from .words import Memo, plain
 
 #: Documents that a shard aims at, and the most shards of a store.
 SHARD_DOCS, MOST_SHARDS = 4096, 16384
@@ -190,9 +190,13 @@ def _word_ids(path: str, end: int) -> tuple[Memo, str]:
     code = "H" if kind == "<u2" else "I"
 
     def work(words: list[str]) -> Iterator[bytes]:
-        for i in range(0, len(words), 20_000):
-            for e in tok.encode_batch_fast(words[i : i + 20_000], add_special_tokens=False):
-                yield array(code, e.ids).tobytes()
+        cut = list(map(plain, words))
+        each = list({x for c in cut for x in c if x})
+        known = {"": b""}
+        for i in range(0, len(each), 20_000):
+            part = each[i : i + 20_000]
+            known.update((w, array(code, e.ids).tobytes()) for w, e in zip(part, tok.encode_batch_fast(part, add_special_tokens=False)))
+        return (known[a] + known[b] for a, b in cut)
 
     return Memo(work), kind
 

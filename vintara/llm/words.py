@@ -12,7 +12,7 @@ from collections.abc import Callable, Iterable
 class Memo(dict):
     """Word -> result. Emptied when it would grow beyond ``most``, so a worker's memory is bounded."""
 
-    def __init__(self, work: Callable[[list[str]], Iterable], most: int = 300_000):
+    def __init__(self, work: Callable[[list[str]], Iterable], most: int = 600_000):
         super().__init__()
         self.work, self.most = work, most
 
@@ -25,3 +25,17 @@ class Memo(dict):
             self.clear()
             new = list(set(words))
         self.update(zip(new, self.work(new)))
+
+
+def plain(word: str) -> tuple[str, str]:
+    """A word and its trailing mark, where a tokenizer that lower-cases and cuts between letters and marks sees the two apart.
+
+    An ASCII word of letters that ends with one of ``.,!`` is lower-cased and split from the
+    mark; any other word stays as it is, with an empty mark.
+    """
+    if word.isascii():
+        if word.isalpha():
+            return word.lower(), ""
+        if word[-1] in ".,!" and word[:-1].isalpha():
+            return word[:-1].lower(), word[-1]
+    return word, ""
