@@ -14,6 +14,7 @@ import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 from operator import itemgetter
 
 import numpy as np
@@ -270,11 +271,9 @@ def encode_documents(docs: DataFrame, path: str | None = None, id_col: str = "do
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = Coder(WordBpe(path), Lexicon(unpack(uri)[1]), tuple)
         for b in batches:
-            out = []
-            for t in b.column("text").to_pylist():
-                w = split_words(t)
-                coder.memo.learn(w)
-                out.append([i for x in w for i in coder.memo[x]])
+            texts = list(map(split_words, b.column("text").to_pylist()))
+            coder.memo.learn(chain.from_iterable(texts))
+            out = [[i for x in w for i in coder.memo[x]] for w in texts]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(out, pa.list_(pa.int32()))], ["doc_id", "ids"])
 
     return map_arrow(base, run, f"doc_id {dict(base.dtypes)['doc_id']}, ids array<int>")
@@ -312,9 +311,9 @@ def digest_documents(docs: DataFrame, path: str | None = None, id_col: str = "do
         memo, sha = _written(path, uri).memo, hashlib.sha256
         for b in batches:
             n, a, d = [], [], []
-            for t in b.column("text").to_pylist():
-                w = split_words(t)
-                memo.learn(w)
+            texts = list(map(split_words, b.column("text").to_pylist()))
+            memo.learn(chain.from_iterable(texts))
+            for w in texts:
                 got = list(filter(None, map(memo.__getitem__, w)))
                 ids = " ".join(map(itemgetter(0), got))
                 n.append(ids.count(" ") + 1 if ids else 0)

@@ -87,14 +87,12 @@ def marked_words(text: str) -> list[str]:
     return words[1:] if text[:1] in (" ", MARK) else words
 
 
-def count_text(text: str, path: str) -> int:
-    """Tokens of one whole text."""
-    if not text:
-        return 0
+def count_texts(texts: list[str], path: str) -> list[int]:
+    """Tokens of whole texts."""
     memo = _counter(path)[1]
-    w = marked_words(text)
-    memo.learn(w)
-    return sum(map(memo.__getitem__, w))
+    words = [marked_words(t) if t else [] for t in texts]
+    memo.learn(chain.from_iterable(words))
+    return [sum(map(memo.__getitem__, w)) for w in words]
 
 
 def count_tokens(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -104,7 +102,7 @@ def count_tokens(docs: DataFrame, path: str | None = None, id_col: str = "doc_id
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([count_text(t, path) for t in b.column("text").to_pylist()], pa.int64())], ["doc_id", "n_tokens"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(count_texts(b.column("text").to_pylist(), path), pa.int64())], ["doc_id", "n_tokens"])
 
     return map_arrow(base, run, f"doc_id {dict(base.dtypes)['doc_id']}, n_tokens bigint")
 

@@ -17,13 +17,14 @@ class Memo(dict):
         self.work, self.most = work, most
 
     def learn(self, words: Iterable[str]) -> None:
-        """Make sure that each of ``words`` has a result."""
-        new = [w for w in set(words) if w not in self]
+        """Make sure that each of ``words`` has a result; best called for a whole batch of texts at once."""
+        words = set(words)
+        new = [w for w in words if w not in self]
         if not new:
             return
         if len(self) + len(new) > self.most and len(self):
             self.clear()
-            new = list(set(words))
+            new = list(words)
         self.update(zip(new, self.work(new)))
 
 
