@@ -208,7 +208,7 @@ class Coder:
 
     def __init__(self, model: WordBpe, lexicon: Lexicon, view):
         self.model, self.lexicon, self.view = model, lexicon, view
-        self.memo = Memo(self._work)
+        self.memo = Memo(self._work, 400_000)
 
     def _work(self, words: list[str]) -> Iterator:
         cut = [self.model.pieces(w) for w in words]
