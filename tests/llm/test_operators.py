@@ -137,6 +137,15 @@ def test_op3_round_trip(which, request, spark):
     assert token_store.write_store(df.limit(0)).read(spark).count() == 0
 
 
+def test_op3_words_and_marks(spark):
+    odd = ["İ& ñtaas,!! Ciónjaar&&& don't, a<|endoftext|>, ß. ǅ! ª# x-y, 12&& &", "é'll. E\u0301, e\u0301&& Σας, ... ,a a,b ŉ! ǰ$ ſt. ﬁ, İ", "<|startoftext|>&& x<|endoftext|> |x| <x>,"]
+    t = word_tokenizer()
+    df = spark.createDataFrame(list(enumerate(odd)), "doc_id long, text string")
+    store = token_store.write_store(df)
+    for i, x in enumerate(odd):
+        assert store.get(i)[0].tolist() == [*t.encode(x, add_special_tokens=False).ids, 2]
+
+
 def test_op3_perfect_hash():
     keys = np.random.default_rng(0).choice(10**9, 20_000, replace=False)
     arrays, place = token_store.PerfectHash.build(keys)

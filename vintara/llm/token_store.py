@@ -18,6 +18,7 @@ from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -29,7 +30,7 @@ from .bpe import default_path, split_words
 from .common import durable, id_text, map_arrow, map_pandas, new_dir, table
 from .files import get, pack, put, unpack
 from .fingerprint import _bucket
-from .words import Memo, plain
+from .words import MARKS, Memo, is_run
 
 #: Documents that a shard aims at, and the most shards of a store.
 SHARD_DOCS, MOST_SHARDS = 4096, 16384
@@ -187,16 +188,38 @@ def _word_ids(path: str, end: int) -> tuple[Memo, str]:
     tok.no_truncation()
     tok.no_padding()
     kind = "<u2" if max(tok.get_vocab_size(), end + 1) <= 1 << 16 else "<u4"
-    code = "H" if kind == "<u2" else "I"
+    code, width = ("H", 2) if kind == "<u2" else ("I", 4)
+    suffix = getattr(tok.model, "end_of_word_suffix", None)
+    ends = np.zeros(tok.get_vocab_size(), np.bool_)
+    if suffix:
+        ends[[i for s, i in tok.get_vocab().items() if s.endswith(suffix)]] = True
+
+    def encode(texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in tok.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def learn_runs(words: list[str]) -> Iterator[bytes | None]:
+        """Ids of words of letters alone, in runs of many that are cut again after each token that ends a word; none for other words."""
+        known = {}
+        runs = list(filter(is_run, words))
+        lines = [runs[i : i + 500] for i in range(0, len(runs), 500)]
+        for part, ids in zip(lines, encode(list(map(" ".join, lines)))):
+            stop = ((np.flatnonzero(ends[ids]) + 1) * width).tolist()
+            if len(stop) == len(part):  # else one is more than one word to the tokenizer, or it marks no ends
+                raw = array(code, ids).tobytes()
+                known.update((w, raw[at:to]) for w, at, to in zip(part, [0, *stop], stop))
+        return map(known.get, words)
+
+    heads = Memo(learn_runs)
 
     def work(words: list[str]) -> Iterator[bytes]:
-        cut = list(map(plain, words))
-        each = list({x for c in cut for x in c if x})
-        known = {"": b""}
-        for i in range(0, len(each), 20_000):
-            part = each[i : i + 20_000]
-            known.update((w, array(code, e.ids).tobytes()) for w, e in zip(part, tok.encode_batch_fast(part, add_special_tokens=False)))
-        return (known[a] + known[b] for a, b in cut)
+        """A word of letters and its trailing marks are looked up apart, in lower case, as the tokenizer sees them; any other word is encoded whole."""
+        low = [w.rstrip(MARKS).lower() for w in words]
+        heads.learn(low)
+        head = list(map(heads.__getitem__, low))
+        rest = [w if h is None else w[len(x) :] for w, x, h in zip(words, low, head)]
+        odd = list(set(rest))
+        tail = {r: array(code, ids).tobytes() for r, ids in zip(odd, encode(odd))}
+        return (tail[r] if h is None else h + tail[r] for h, r in zip(head, rest))
 
     return Memo(work), kind
 
@@ -223,11 +246,9 @@ def write_store(docs: DataFrame, path: str | None = None, end: int = END, id_col
         memo, kind = _word_ids(path, end)
         tail = np.array([end], kind).tobytes()
         for b in batches:
-            out = []
-            for t in b.column("text").to_pylist():
-                w = split_words(t)
-                memo.learn(w)
-                out.append(b"".join(map(memo.__getitem__, w)) + tail)
+            words = list(map(split_words, b.column("text").to_pylist()))
+            memo.learn(chain.from_iterable(words))
+            out = [b"".join(map(memo.__getitem__, w)) + tail for w in words]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("key"), b.column("shard"), pa.array([len(tail)] * b.num_rows, pa.int32()), pa.array(out, pa.binary())], ["doc_id", "key", "shard", "width", "ids"])
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

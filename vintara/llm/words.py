@@ -7,6 +7,7 @@ is the concatenation of its words' results, and remembering words saves most of
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from itertools import filterfalse
 
 
 class Memo(dict):
@@ -19,7 +20,7 @@ class Memo(dict):
     def learn(self, words: Iterable[str]) -> None:
         """Make sure that each of ``words`` has a result; best called for a whole batch of texts at once."""
         words = set(words)
-        new = [w for w in words if w not in self]
+        new = list(filterfalse(self.__contains__, words))
         if not new:
             return
         if len(self) + len(new) > self.most and len(self):
@@ -28,15 +29,10 @@ class Memo(dict):
         self.update(zip(new, self.work(new)))
 
 
-def plain(word: str) -> tuple[str, str]:
-    """A word and its trailing mark, where a tokenizer that lower-cases and cuts between letters and marks sees the two apart.
+#: Marks that end a word; a run of them is one piece. Apostrophes, which begin contractions, and the signs of special tokens are not among them.
+MARKS = ".,!?;:&$%*#@"
 
-    An ASCII word of letters that ends with one of ``.,!`` is lower-cased and split from the
-    mark; any other word stays as it is, with an empty mark.
-    """
-    if word.isascii():
-        if word.isalpha():
-            return word.lower(), ""
-        if word[-1] in ".,!" and word[:-1].isalpha():
-            return word[:-1].lower(), word[-1]
-    return word, ""
+
+def is_run(word: str) -> bool:
+    """Whether a word is of Latin letters alone."""
+    return word.isalpha() and max(word) < "\u0250"
