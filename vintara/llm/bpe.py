@@ -11,7 +11,6 @@ from __future__ import annotations
 import hashlib
 import json
 import unicodedata
-from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
@@ -27,9 +26,9 @@ from .common import id_text, map_arrow, new_dir, table
 from .files import pack, put, unpack
 from .words import Memo
 
-#: Words of the corpus that the lexicon holds at most, and the documents they are counted in.
-#: Both bound only how often the slow way is taken; the ids are the same without them.
-LEXICON_WORDS, LEXICON_DOCS = 50_000, 2000
+#: Words of the corpus that the lexicon holds at most, and the characters that such a word has
+#: at most. Both bound only how often the slow way is taken; the ids are the same without them.
+LEXICON_WORDS, LEXICON_CHARS = 50_000, 64
 
 
 def byte_symbols() -> list[str]:
@@ -226,31 +225,19 @@ def split_words(text: str) -> list[str]:
     return text.split()
 
 
-def build_lexicon(docs: DataFrame, path: str, words: int = LEXICON_WORDS, sample: int = LEXICON_DOCS) -> str:
+def build_lexicon(docs: DataFrame, path: str, words: int = LEXICON_WORDS) -> str:
     """Compile the lexicon and write it to the shared folder; returns its URI.
 
-    It holds the vocabulary's own whole words and the most frequent words of ``sample``
-    documents, those of the smallest id hashes; counts are summed on the executors.
+    It holds the vocabulary's own whole words and the pieces of the ``words`` most frequent
+    words, counted over the whole texts of all documents; only these come to the driver.
     """
-    base = id_text(docs).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, seen = WordBpe(path), Counter()
-        for b in batches:
-            for t in b.column("text").to_pylist():
-                seen.update(split_words(t))
-        out = Counter()
-        for w, n in seen.items():
-            for p in model.pieces(w):
-                if isinstance(p, str):
-                    out[p] += n
-        yield pa.RecordBatch.from_arrays([pa.array(list(out), pa.string()), pa.array(list(out.values()), pa.int64())], ["w", "n"])
-
-    top = [r["w"] for r in map_arrow(base, count, "w string, n bigint").groupBy("w").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "w").limit(words).collect()]
+    each = id_text(docs).select(F.explode(F.split("text", r"\s+")).alias("w")).where(F.length("w").between(1, LEXICON_CHARS))
+    top = [r["w"] for r in each.groupBy("w").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "w").limit(words).collect()]
     model = WordBpe(path)
     back = {s: b for b, s in enumerate(byte_symbols())}
     whole = [bytes(back[c] for c in s[: -len(model.end)]) for s in model.vocab if s.endswith(model.end) and len(s) > len(model.end)]
-    entries = {r: model.merge(r) for r in {*(w.encode() for w in top), *whole} if r}
+    pieces = {p.encode() for w in top for p in model.pieces(w) if isinstance(p, str)}
+    entries = {r: model.merge(r) for r in pieces.union(whole) if r}
     uri = new_dir(docs.sparkSession, "lexicon") + "/lexicon.bin"
     put(uri, pack({}, Lexicon.compile(entries)))
     return uri
