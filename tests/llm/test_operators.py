@@ -193,6 +193,13 @@ def test_op6_equals_library(docs, edge):
         assert back[r["doc_id"]] == t.decode(t.encode(r["text"], add_special_tokens=False).ids, skip_special_tokens=False)
 
 
+def test_op6_merges_together_and_singly():
+    m, r = bpe.WordBpe(bpe.default_path()), np.random.default_rng(3)
+    words = [bytes(r.choice(list(b"abeinorst\xc3\xa9"), n).tolist()) for n in r.integers(1, 45, 3000)] + [b"a" * n for n in range(1, 40)]
+    assert m.merge_all(words) == [m.merge(w) for w in words]
+    assert m.merge_all([]) == []
+
+
 def test_op6_automaton():
     words = {w.encode(): [i, i + 1] for i, w in enumerate(["a", "ab", "abc", "bc", "tops", "taps", "top", "tap"])}
     lex = bpe.Lexicon(bpe.Lexicon.compile(words))

@@ -29,6 +29,8 @@ from .words import Memo
 #: Words of the corpus that the lexicon holds at most, and the characters that such a word has
 #: at most. Both bound only how often the slow way is taken; the ids are the same without them.
 LEXICON_WORDS, LEXICON_CHARS = 50_000, 64
+#: Above every rank of a pair.
+NEVER = 1 << 30
 
 
 def byte_symbols() -> list[str]:
@@ -59,6 +61,9 @@ class WordBpe:
             a, b = m if isinstance(m, list) else m.split(" ", 1)
             self.ranks[self.vocab[a] << 20 | self.vocab[b]] = (rank, self.vocab[a + b])
         symbols = byte_symbols()
+        pairs = sorted((pair, rank, new) for pair, (rank, new) in self.ranks.items())
+        self.pair_key, self.pair_rank, _ = np.array(pairs, np.int64).reshape(-1, 3).T
+        self.rank_id = np.array([new for _, new in sorted(self.ranks.values())], np.int64)
         self.inner = [self.vocab[s] for s in symbols]
         self.last = [self.vocab[s + self.end] for s in symbols]
         pattern = next(p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
@@ -69,7 +74,7 @@ class WordBpe:
         """Exact ids of one word: always the pair of lowest rank, the leftmost of equals."""
         s = [self.inner[b] for b in raw]
         s[-1] = self.last[raw[-1]]
-        get, far = self.ranks.get, (1 << 30, 0)
+        get, far = self.ranks.get, (NEVER, 0)
         pairs = [get(a << 20 | b, far) for a, b in zip(s, s[1:])]
         while pairs:
             low = min(pairs)
@@ -84,6 +89,49 @@ class WordBpe:
                 pairs[i] = get(s[i] << 20 | s[i + 1], far)
         return s
 
+    def pair_ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Rank of each pair of symbols; ``NEVER`` for pairs that don't merge and for the filler -1."""
+        key = a << 20 | b
+        at = np.minimum(np.searchsorted(self.pair_key, key), len(self.pair_key) - 1)
+        return np.where((a >= 0) & (b >= 0) & (self.pair_key[at] == key), self.pair_rank[at], NEVER)
+
+    def merge_all(self, words: list[bytes]) -> list[list[int]]:
+        """``merge`` of each word; words of a like length take a step at a time together, long ones go singly."""
+        out: list[list[int]] = [[]] * len(words)
+        size = np.fromiter(map(len, words), np.int64, len(words))
+        inner, last = np.array(self.inner, np.int64), np.array(self.last, np.int64)
+        for low, top in ((0, 6), (6, 10), (10, 16), (16, 32)):
+            rows = np.flatnonzero((size > low) & (size <= top))
+            if not len(rows):
+                continue
+            n = size[rows]
+            inside = np.arange(top) < n[:, None]
+            s = np.full((len(rows), top), -1, np.int64)
+            s[inside] = inner[np.frombuffer(b"".join(words[i] for i in rows.tolist()), np.uint8)]
+            s[np.arange(len(rows)), n - 1] = last[np.fromiter((words[i][-1] for i in rows.tolist()), np.int64, len(rows))]
+            r = self.pair_ranks(s[:, :-1], s[:, 1:])
+            while len(rows):
+                # the pair of lowest rank in each word, the leftmost of equals
+                i = r.argmin(1) if r.shape[1] else np.zeros(len(rows), np.int64)
+                best = r[np.arange(len(rows)), i] if r.shape[1] else np.full(len(rows), NEVER)
+                live = best < NEVER
+                for k, ids, m in zip(rows[~live].tolist(), s[~live].tolist(), n[~live].tolist()):
+                    out[k] = ids[:m]
+                rows, s, r, n, i, best = rows[live], s[live], r[live], n[live] - 1, i[live], best[live]
+                if not len(rows):
+                    break
+                at = np.arange(len(rows))
+                cols = np.arange(s.shape[1] - 1)
+                s = np.take_along_axis(s, cols + (cols > i[:, None]), 1)
+                s[at, i] = self.rank_id[best]
+                r = np.take_along_axis(r, cols[:-1] + (cols[:-1] >= i[:, None]), 1)
+                left, right = np.flatnonzero(i > 0), np.flatnonzero(i < r.shape[1])
+                r[left, i[left] - 1] = self.pair_ranks(s[left, i[left] - 1], s[left, i[left]])
+                r[right, i[right]] = self.pair_ranks(s[right, i[right]], s[right, i[right] + 1])
+        for k in np.flatnonzero(size > top).tolist():
+            out[k] = self.merge(words[k])
+        return out
+
     def pieces(self, word: str) -> list[str | int]:
         """What the model sees of a word: lower-cased runs, and the ids of special tokens written out."""
         if "<|" in word:
@@ -198,8 +246,9 @@ class Lexicon:
 def encode_pieces(pieces: list[str], model: WordBpe, lexicon: Lexicon) -> dict[str, list[int]]:
     """Ids of each distinct piece: from the automaton, or merged."""
     raw = [p.encode() for p in pieces]
-    place = lexicon.find(raw)
-    return {p: lexicon.output(k) if k >= 0 else model.merge(r) for p, r, k in zip(pieces, raw, place.tolist())}
+    place = lexicon.find(raw).tolist()
+    merged = iter(model.merge_all([r for r, k in zip(raw, place) if k < 0]))
+    return {p: lexicon.output(k) if k >= 0 else next(merged) for p, k in zip(pieces, place)}
 
 
 class Coder:
@@ -216,8 +265,6 @@ class Coder:
             yield self.view([i for p in c for i in (ids[p] if isinstance(p, str) else (p,))])
 
 
-
-
 def split_words(text: str) -> list[str]:
     """Words between Unicode white space (not U+001C to U+001F, which Python's split would cut at)."""
     if any(c in text for c in "\x1c\x1d\x1e\x1f"):
@@ -237,7 +284,8 @@ def build_lexicon(docs: DataFrame, path: str, words: int = LEXICON_WORDS) -> str
     back = {s: b for b, s in enumerate(byte_symbols())}
     whole = [bytes(back[c] for c in s[: -len(model.end)]) for s in model.vocab if s.endswith(model.end) and len(s) > len(model.end)]
     pieces = {p.encode() for w in top for p in model.pieces(w) if isinstance(p, str)}
-    entries = {r: model.merge(r) for r in pieces.union(whole) if r}
+    raw = [r for r in pieces.union(whole) if r]
+    entries = dict(zip(raw, model.merge_all(raw)))
     uri = new_dir(docs.sparkSession, "lexicon") + "/lexicon.bin"
     put(uri, pack({}, Lexicon.compile(entries)))
     return uri
