@@ -99,6 +99,13 @@ def test_op2_lines(spark):
     assert line_dedup.dedup_lines(df.limit(0)).count() == 0
 
 
+def test_op2_compares_whole_words(spark):
+    han = "一二三四五六七八九十甲乙丙丁戊己庚辛"
+    lines = ["- https://github.com/org/alpha", "- https://github.com/net/gamma", "See https://example.com/report-2021.pdf", "See https://example.com/terms", "https://abc.io/page/1", "https://abc.io/page/2", f"{han} {han[:9]}子丑寅卯辰巳午未申", f"{han} {han[:9]}天地玄黄宇宙洪荒日", "ab\u2028cd", "ab\u2028ef"]
+    df = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    assert [r["text"] for r in line_dedup.dedup_lines(df).orderBy("doc_id").collect()] == lines
+
+
 def test_op2_recall(docs):
     base = docs.select("doc_id", "text")
     lines = [r for r in line_dedup.lines_of(base).collect()]
