@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer, models, pre_tokenizers
 
-from vintara.llm import bpe, decontaminate, fingerprint, licenses, line_dedup, near_simhash, quality, token_store, toxicity, viterbi
+from vintara.llm import bpe, decontaminate, fingerprint, licenses, line_dedup, near_simhash, quality, set_join, token_store, toxicity, viterbi
 from vintara.llm.components import connected_components
 
 SF = "/root/testdata/sf0.001"
@@ -122,6 +122,48 @@ def test_op2_recall(docs):
     assert sum(x in root and root.get(x) == root.get(y) for x, y in want) >= 0.95 * len(want)
 
 
+def test_op2_loses_no_pair(spark):
+    r = np.random.default_rng(5)
+    vocabulary = [f"{a}{b}" for a in "bdfglmn" for b in ("ara", "ero", "ilu", "onte")]
+    phrases = [" ".join(r.choice(vocabulary, 5)) for _ in range(20)]
+    lines = [" ".join(r.choice(phrases, 12, replace=False)) for _ in range(700)]
+    for i in range(150):
+        w = lines[i].split()
+        w[int(r.integers(0, len(w)))] = "changed"
+        lines.append(" ".join(w))
+    lines = sorted(set(lines))
+    sets = [set(re.findall(r"(?<!\S)(?=(\S.{0,15}))", x)) for x in lines]
+    df = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    name = {r["line"]: r["id"] for r in line_dedup.lines_of(df).collect()}
+    root = {r["id"]: r["root"] for r in line_dedup.line_classes(df).collect()}
+    mine = [root.get(name[x], name[x]) for x in lines]
+    up = list(range(len(lines)))
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if 5 * len(a & sets[j]) >= 4 * len(a | sets[j]) and up[i] != up[j]:
+                old, new = max(up[i], up[j]), min(up[i], up[j])
+                up = [new if x == old else x for x in up]
+    assert len(set(up)) <= len(lines) - 150
+    assert len(set(zip(mine, up))) == len(set(mine)) == len(set(up))
+
+
+def test_set_join_equals_brute_force(spark, monkeypatch):
+    r = np.random.default_rng(9)
+    monkeypatch.setattr(set_join, "BLOCK", 8)
+    base = [set(r.choice(60, int(r.integers(1, 25)), replace=False).tolist()) for _ in range(150)]
+    sets = [*base, *base[:20], *[{*list(b)[1:], 99} for b in base if len(b) > 8], *[{*range(12), 100 + i} - {i % 12} for i in range(60)], set()]
+    df = spark.createDataFrame([(i, sorted(s)) for i, s in enumerate(sets)], "id long, set array<long>")
+    comp = {x["node"]: x["component"] for x in connected_components(set_join.similar_links(df, F.col("set"))).collect()}
+    up = list(range(len(sets)))
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if a and 5 * len(a & sets[j]) >= 4 * len(a | sets[j]) and up[i] != up[j]:
+                old, new = max(up[i], up[j]), min(up[i], up[j])
+                up = [new if x == old else x for x in up]
+    assert [comp.get(i, i) for i in range(len(sets))] == up and len(set(up)) < len(sets) - 30
+    assert set_join.similar_links(df.limit(0), F.col("set")).count() == 0
+
+
 @pytest.mark.parametrize("which", ["docs", "edge"])
 def test_op3_round_trip(which, request, spark):
     df = request.getfixturevalue(which)

@@ -1,0 +1,73 @@
+"""Exact similarity join of sets, DataFrame expressions only.
+
+Two sets with a Jaccard similarity of at least 4/5 share one of the first members of each, as
+many as may be missing and one more, whatever order all sets are sorted in (prefix filter).
+Rare members come first, so most sets share none of theirs with any other and few meet. All
+pairs that meet are compared exactly, or are joined already by other pairs.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from .common import durable
+from .components import connected_components
+
+#: As a fraction: 4/5.
+SIMILARITY = (4, 5)
+#: Sets of a group that meet the whole group in one task.
+BLOCK = 512
+#: Most ids (longs) that are broadcast; beyond it they are joined by a shuffle.
+BROADCAST_IDS = 2_000_000
+
+
+def similar(x, y):
+    """Whether two sets have a Jaccard similarity of at least ``SIMILARITY``, in whole numbers; sets too unequal in size are told first."""
+    num, den = SIMILARITY
+    n, m = F.size(x), F.size(y)
+    return (den * F.least(n, m) >= num * F.greatest(n, m)) & ((num + den) * F.size(F.array_intersect(x, y)) >= num * (n + m))
+
+
+def similar_links(rows: DataFrame, members) -> DataFrame:
+    """``a, b``: links whose components equal those of all pairs with a similarity of at least 4/5.
+
+    ``rows`` has distinct long ids ``id`` and what the column ``members``, an array of
+    distinct longs, is made of; it is read more than once. Empty sets are linked to none.
+    """
+    num, den = SIMILARITY
+    each = rows.select("id", members.alias("set")).select("id", F.size("set").alias("n"), F.explode("set").alias("h"))
+    shared = durable(each.groupBy("h").agg(F.count("*").alias("c")).where("c > 1"), "shared")
+    held = each.join(shared, "h").groupBy("id", "n").agg(F.array_sort(F.collect_list(F.struct("c", "h"))).alias("l"))
+    # members that no other set has come first of all: they use up the prefix, and are not looked for
+    held = held.withColumn("k", (F.size("l") + 1 - F.ceil(F.col("n") * num / den)).cast("int")).where("k > 0")
+    held = durable(held.withColumn("same", F.when(F.size("l") == F.col("n"), F.xxhash64("n", "l"))), "held")
+
+    one = held.where("same is not null").groupBy("same").agg(F.min("id").alias("a"), F.count("*").alias("m")).where("m > 1").select("same", "a")
+    copies = durable(held.join(one, "same").where("id <> a").select("a", F.col("id").alias("b")), "copies")
+    prefix = held.join(copies.select(F.col("b").alias("id")), "id", "left_anti").select("id", F.explode(F.slice("l.h", F.lit(1), F.col("k"))).alias("h"))
+    groups = prefix.groupBy("h").agg(F.count("*").alias("m"), F.min("id").alias("a")).where("m > 1")
+    near = durable(prefix.join(groups, "h"), "near")
+
+    ids = durable(near.select("id").distinct(), "ids")
+    wanted = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+    own = durable(rows.join(wanted, "id", "left_semi").select("id", members.alias("set")), "sets")
+
+    # each member beside its group's smallest first: a group that this joins needs no more
+    pairs = near.where("id <> a").select("a", F.col("id").alias("b")).distinct()
+    beside = pairs.join(own.select(F.col("id").alias("a"), F.col("set").alias("sa")), "a").join(own.select(F.col("id").alias("b"), F.col("set").alias("sb")), "b")
+    stars = durable(beside.where(similar(F.col("sa"), F.col("sb"))).select("a", "b"), "links")
+    label = connected_components(stars).withColumnRenamed("node", "id")
+    rest = near.where("id <> a").join(label, "id", "left").select("h", "id", "m", F.coalesce("component", "id").alias("root"))
+    mixed = rest.groupBy("h").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("h")
+    rest = durable(rest.join(mixed, "h", "left_semi").withColumn("blocks", F.ceil(F.col("m") / BLOCK).cast("int")), "rest")
+    full = rest.join(own, "id").join(held.select("id", F.slice("l.h", F.lit(1), F.col("k")).alias("first"), F.size("l").alias("of")), "id")
+    # ``left``: the members from ``h`` on, which are all that a set can share with one whose first common member is ``h``
+    full = full.withColumn("left", F.col("of") + 1 - F.array_position("first", F.col("h")).cast("int"))
+    # every two that are not joined, each group cut into blocks on one side
+    x = full.select("h", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("block"), F.col("id").alias("a"), F.col("set").alias("sa"), F.col("root").alias("ra"), F.col("first").alias("fa"), F.col("left").alias("la"))
+    y = full.select("h", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.col("id").alias("b"), F.col("set").alias("sb"), F.col("root").alias("rb"), F.col("first").alias("fb"), F.col("left").alias("lb"))
+    fit = (F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb")) & ((num + den) * F.least("la", "lb") >= num * (F.size("sa") + F.size("sb")))
+    once = F.get(F.array_intersect("fa", "fb"), F.lit(0)) == x["h"]
+    meet = x.join(y, (x["h"] == y["h"]) & (x["block"] == y["block"]) & fit & once & similar(F.col("sa"), F.col("sb"))).select("a", "b")
+    return copies.union(stars).union(durable(meet, "links"))
