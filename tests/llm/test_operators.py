@@ -217,6 +217,20 @@ def test_op4_finds_items(docs, spark):
     assert decontaminate.keep_clean(planted, bench).count() == 6 - len({d for d, _ in got})
 
 
+def test_op4_repeated_and_templated_items(spark, monkeypatch):
+    words = [f"w{i}" for i in range(50)]
+    docs = spark.createDataFrame([(1, " ".join([*words[:25], "changed", *words[26:]])), (2, " ".join(f"v{i}" for i in range(90)))], "doc_id long, text string")
+    other = " ".join([*words[:5], *(f"u{i}" for i in range(45))])
+    for copies in (1, 2, 10):
+        bench = spark.createDataFrame([*((i, " ".join(words)) for i in range(copies)), (99, other)], "item_id long, text string")
+        whole = sorted(map(tuple, decontaminate.contaminated(docs, bench).collect()))
+        assert [(d, i) for d, i, *_ in whole] == [(1, i) for i in range(copies)]
+        assert [r["doc_id"] for r in decontaminate.keep_clean(docs, bench).collect()] == [2]
+        monkeypatch.setattr(decontaminate, "ITEM_BLOCK", 1)
+        assert sorted(map(tuple, decontaminate.contaminated(docs, bench).collect())) == whole
+        monkeypatch.undo()
+
+
 def test_op5_held_out_accuracy_and_edges(spark, edge):
     d, lab = (spark.read.parquet(f"/root/testdata/sf0.01/{n}.parquet") for n in ("documents", "labels"))
     model = quality.learn(d, lab)

@@ -6,8 +6,9 @@ cumulative votes, so a window costs the same at any size. Windows meet the finge
 equally long parts of the items in multi-index tables: at most ``RADIUS`` bits apart means at
 most ``RADIUS // 4`` on one of four 16-bit blocks, and a table per block lists the parts for
 every such value, so no window within the radius is missed. Candidates are verified by exact
-weighted Jaccard similarity of five-word shingles between the item and the best alignment of
-an item-long window.
+Jaccard similarity of five-word shingles, plain or weighted by how many distinct items of the
+whole benchmark share a shingle, whichever is more, between the item and the best alignment
+of an item-long window.
 """
 
 from __future__ import annotations
@@ -115,18 +116,19 @@ def stride(size: int) -> int:
 class Items:
     """The items of one block with their multi-index tables per window size."""
 
-    def __init__(self, items: list[tuple[int, str]]):
+    def __init__(self, items: list[tuple[int, str]], shares: dict[int, int] | None = None):
         memo = Memo(lambda ws: map(word_hash, ws))
         words = [(k, h) for (k, _), h in zip(items, hashes([t or "" for _, t in items], memo)) if len(h)]
         self.ids = [k for k, _ in words]
         self.length = [len(h) for _, h in words]
         self.sets = [set(shingles(h).tolist()) for _, h in words]
-        seen: dict[int, int] = defaultdict(int)
-        for s in self.sets:
-            for x in s:
-                seen[x] += 1
-        #: A shingle that many items share says less about each.
-        self.weight = {x: 1.0 / n for x, n in seen.items()}
+        if shares is None:  # these are all items
+            shares = defaultdict(int)
+            for s in {h.tobytes(): s for (_, h), s in zip(words, self.sets)}.values():
+                for x in s:
+                    shares[x] += 1
+        #: A shingle that many distinct items share says less about each.
+        self.weight = {x: 1.0 / shares.get(x, 1) for s in self.sets for x in s}
         self.total = [sum(self.weight[x] for x in s) for s in self.sets]
         self.classes = size_classes(self.length)
         parts: dict[int, list[tuple[int, int, int]]] = defaultdict(list)  # size -> (fingerprint, item, offset)
@@ -176,7 +178,7 @@ class Items:
         return w, item[p], offset[p]
 
     def similarity(self, i: int, h: np.ndarray, start: int) -> tuple[float, int]:
-        """Best weighted Jaccard similarity of item ``i`` with the item-long windows around ``start``, and its place."""
+        """Best Jaccard similarity, plain or weighted, of item ``i`` with the item-long windows around ``start``, and its place."""
         n, slack = self.length[i], max(8, self.length[i] // 4)
         own, weight, total = self.sets[i], self.weight, self.total[i]
         k = min(SHINGLE, n)
@@ -186,11 +188,13 @@ class Items:
         best = (0.0, low)
         for s in range(high - low + 1):
             win = set(sh[s : s + n - k + 1])
-            both = sum(weight[x] for x in win & own)
-            if both:
+            common = win & own
+            if common:
+                both = sum(weight[x] for x in common)
                 union = total + sum(weight.get(x, 1.0) for x in win - own)
-                if both / union > best[0]:
-                    best = (both / union, low + s)
+                got = max(both / union, len(common) / len(win | own))
+                if got > best[0]:
+                    best = (got, low + s)
         return best
 
 
@@ -281,9 +285,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     kind, item_kind = dict(base.dtypes)["doc_id"], dict(benchmark.dtypes)[item_col]
     found = None
 
-    def search(chosen: list[tuple[int, str]]) -> DataFrame:
+    def search(chosen: list[tuple[int, str]], shares: dict[int, int] | None = None) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            items = Items(chosen)
+            items = Items(chosen, shares)
             if not _MEMO:
                 _MEMO.append(Memo(lambda ws: map(word_hash, ws)))
             for b in batches:
@@ -293,16 +297,40 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
         return map_arrow(base, run, f"doc_id {kind}, item_id {item_kind}, similarity double, first_word bigint")
 
-    for chosen in _item_blocks(benchmark, item_col, item_text):
-        found = search(chosen) if found is None else found.union(search(chosen))
+    for block in _item_blocks(benchmark, item_col, item_text):
+        found = search(*block) if found is None else found.union(search(*block))
     return search([]) if found is None else found
 
 
-def _item_blocks(benchmark: DataFrame, item_col: str = "item_id", item_text: str = "text") -> Iterator[list[tuple[int, str]]]:
-    """The items in their order, ``ITEM_BLOCK`` at a time."""
+def _item_blocks(benchmark: DataFrame, item_col: str = "item_id", item_text: str = "text") -> Iterator[tuple[list[tuple[int, str]], dict[int, int] | None]]:
+    """The items in their order, ``ITEM_BLOCK`` at a time, with the number of distinct items of all blocks that share each of their shingles (those of one item left out); none where one block holds all."""
     rows = benchmark.select(F.col(item_col), F.col(item_text)).orderBy(item_col, item_text).toLocalIterator()
-    while block := [(r[0], r[1]) for r in islice(rows, ITEM_BLOCK)]:
-        yield block
+    take = lambda: [(r[0], r[1]) for r in islice(rows, ITEM_BLOCK)]
+    block, after = take(), take()
+    shares = _shares(benchmark, item_text) if after else None
+    while block:
+        own = None
+        if shares is not None:
+            memo = Memo(lambda ws: map(word_hash, ws))
+            held = {x for h in hashes([t or "" for _, t in block], memo) for x in shingles(h).view(np.int64).tolist()}
+            of = benchmark.sparkSession.createDataFrame([(x,) for x in held], "x long")
+            own = {r["x"] & ((1 << 64) - 1): r["n"] for r in shares.join(of, "x").collect()}
+        yield block, own
+        block, after = after, take()
+
+
+def _shares(benchmark: DataFrame, item_text: str) -> DataFrame:
+    """``x, n``: the shingles of more than one distinct item, and of how many."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memo = Memo(lambda ws: map(word_hash, ws))
+        for b in batches:
+            got = hashes(b.column("text").to_pylist(), memo)
+            sets = [np.unique(shingles(h)).view(np.int64).tolist() for h in got]
+            yield pa.RecordBatch.from_arrays([pa.array([h.tobytes() for h in got], pa.binary()), pa.array(sets, pa.list_(pa.int64()))], ["words", "xs"])
+
+    items = map_arrow(benchmark.select(F.coalesce(F.col(item_text), F.lit("")).alias("text")).distinct(), run, "words binary, xs array<bigint>")
+    return durable(items.distinct().select(F.explode("xs").alias("x")).groupBy("x").agg(F.count("*").alias("n")).where("n > 1"), "shares")
 
 
 def _arrow(kind: str) -> pa.DataType:
@@ -318,9 +346,9 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     kept = docs.withColumn("__text", F.coalesce("text", F.lit("")))
     schema, many = kept.schema, False
 
-    def without(chosen: list[tuple[int, str]]):
+    def without(chosen: list[tuple[int, str]], shares: dict[int, int] | None):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            items = Items(chosen)
+            items = Items(chosen, shares)
             if not _MEMO:
                 _MEMO.append(Memo(lambda ws: map(word_hash, ws)))
             for b in batches:
@@ -330,8 +358,8 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
         return run
 
-    for chosen in _item_blocks(benchmark):
-        kept = map_arrow(durable(kept, "clean") if many else kept, without(chosen), schema)
+    for block in _item_blocks(benchmark):
+        kept = map_arrow(durable(kept, "clean") if many else kept, without(*block), schema)
         many = True
     return kept.drop("__text")
 
