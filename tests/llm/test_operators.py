@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import textwrap
 import zlib
 
 import numpy as np
@@ -278,6 +279,15 @@ def test_op7_rules(spark):
     assert all(w == licenses.normalise(w) for ws in licenses.SENTENCES.values() for w in ws)
 
 
+def test_op7_narrow_lines():
+    grant, notice = licenses.SENTENCES["mit-grant"][0], licenses.SENTENCES["mit-notice"][0]
+    for width in (20, 40, 50, 60, 200):
+        text = "\n".join(f"# {x}" for s in (grant + ":", "", notice + ".") for x in textwrap.wrap(s, width) or [""])
+        found = licenses.identifiers(text)
+        assert [f[3] for f in found] == ["mit-grant", "mit-notice"]
+        assert licenses.licences(found) == [("MIT", 0, len(text))]
+
+
 def test_op8_equals_library(docs, edge):
     path = viterbi.default_path()
     t = Tokenizer(models.Unigram(viterbi.unigram_vocabulary(path), unk_id=0, byte_fallback=True))
