@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from .common import ascii_words, durable, id_text, lower_ascii, map_pandas, shingle_structs, table
 from .components import connected_components
+from .set_join import similar_links
 from .simhash import fingerprint, to_hex, votes
 
 #: Sampled fingerprints that shape a tree. They set speed and balance only, never the result.
@@ -207,13 +208,23 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return rows.join(named, "fp").select("doc_id", to_hex(F.col("fp")).alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = 3) -> DataFrame:
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5) -> DataFrame:
     """``docs`` with one row of each near-duplicate group: that of the smallest id.
 
-    Rows with a null id have no name to be kept by and stay; of rows that repeat the kept id,
-    all stay.
+    Texts are linked at a Jaccard similarity of at least 0.8 of their sets of shingles of
+    ``shingle`` words (words and short texts as in ``fingerprints``; texts without words are
+    alike). Every such pair is found or joined through others. Rows with a null id have no
+    name to be kept by and stay; of rows that repeat the kept id, all stay.
     """
-    found = near_duplicates(docs, id_col, text_col, radius).where("doc_id <> component_id").select(F.col("doc_id").alias("__dropped")).distinct()
+    base = id_text(docs, id_col, text_col).withColumn("k", F.xxhash64("text"))
+    words = durable(base.select(F.col("k").alias("id"), "text").distinct(), "texts").select("id", ascii_words(lower_ascii(F.col("text"))).alias("w"))
+    runs = F.transform(shingle_structs(F.col("w"), shingle), lambda s: F.xxhash64(F.concat_ws(" ", *[s[f"w{i + 1}"] for i in range(shingle)])))
+    members = F.when(F.size("w") == 0, F.array(F.lit(0).cast("long"))).otherwise(F.array_distinct(runs))
+    sets = durable(words.select("id", members.alias("set")), "sets")
+    label = connected_components(similar_links(sets, F.col("set"), short=False)).select(F.col("node").alias("k"), F.col("component").alias("root"))
+    rows = base.select("doc_id", "k").join(label, "k", "left").select("doc_id", "k", F.coalesce("root", "k").alias("root"))
+    least = rows.groupBy("root").agg(F.min("doc_id").alias("least"))
+    found = rows.join(least, "root").where("doc_id <> least").select(F.col("doc_id").alias("__dropped")).distinct()
     return docs.join(found, F.col(f"`{id_col}`") == F.col("__dropped"), "left_anti")
 
 

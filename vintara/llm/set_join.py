@@ -29,11 +29,12 @@ def similar(x, y):
     return (den * F.least(n, m) >= num * F.greatest(n, m)) & ((num + den) * F.size(F.array_intersect(x, y)) >= num * (n + m))
 
 
-def similar_links(rows: DataFrame, members) -> DataFrame:
+def similar_links(rows: DataFrame, members, short: bool = True) -> DataFrame:
     """``a, b``: links whose components equal those of all pairs with a similarity of at least 4/5.
 
     ``rows`` has distinct long ids ``id`` and what the column ``members``, an array of
     distinct longs, is made of; it is read more than once. Empty sets are linked to none.
+    ``short`` sets go along to where members meet; long ones are fetched for each pair that meets.
     """
     num, den = SIMILARITY
     each = rows.select("id", members.alias("set")).select("id", F.size("set").alias("n"), F.explode("set").alias("h"))
@@ -53,21 +54,28 @@ def similar_links(rows: DataFrame, members) -> DataFrame:
     wanted = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
     own = durable(rows.join(wanted, "id", "left_semi").select("id", members.alias("set")), "sets")
 
+    def verified(pairs: DataFrame) -> DataFrame:
+        beside = pairs.join(own.select(F.col("id").alias("a"), F.col("set").alias("sa")), "a").join(own.select(F.col("id").alias("b"), F.col("set").alias("sb")), "b")
+        return durable(beside.where(similar(F.col("sa"), F.col("sb"))).select("a", "b"), "links")
+
     # each member beside its group's smallest first: a group that this joins needs no more
-    pairs = near.where("id <> a").select("a", F.col("id").alias("b")).distinct()
-    beside = pairs.join(own.select(F.col("id").alias("a"), F.col("set").alias("sa")), "a").join(own.select(F.col("id").alias("b"), F.col("set").alias("sb")), "b")
-    stars = durable(beside.where(similar(F.col("sa"), F.col("sb"))).select("a", "b"), "links")
+    stars = verified(near.where("id <> a").select("a", F.col("id").alias("b")).distinct())
     label = connected_components(stars).withColumnRenamed("node", "id")
     rest = near.where("id <> a").join(label, "id", "left").select("h", "id", "m", F.coalesce("component", "id").alias("root"))
     mixed = rest.groupBy("h").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("h")
     rest = durable(rest.join(mixed, "h", "left_semi").withColumn("blocks", F.ceil(F.col("m") / BLOCK).cast("int")), "rest")
-    full = rest.join(own, "id").join(held.select("id", F.slice("l.h", F.lit(1), F.col("k")).alias("first"), F.size("l").alias("of")), "id")
     # ``left``: the members from ``h`` on, which are all that a set can share with one whose first common member is ``h``
-    full = full.withColumn("left", F.col("of") + 1 - F.array_position("first", F.col("h")).cast("int"))
+    at = held.select("id", "n", F.posexplode(F.slice("l.h", F.lit(1), F.col("k"))).alias("pos", "h"), F.size("l").alias("of"))
+    full = rest.join(at, ["id", "h"]).withColumn("left", F.col("of") - F.col("pos"))
+    if short:
+        full = full.join(own, "id").join(held.select("id", F.slice("l.h", F.lit(1), F.col("k")).alias("first")), "id")
+    also = ["set", "first"] if short else []
     # every two that are not joined, each group cut into blocks on one side
-    x = full.select("h", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("block"), F.col("id").alias("a"), F.col("set").alias("sa"), F.col("root").alias("ra"), F.col("first").alias("fa"), F.col("left").alias("la"))
-    y = full.select("h", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.col("id").alias("b"), F.col("set").alias("sb"), F.col("root").alias("rb"), F.col("first").alias("fb"), F.col("left").alias("lb"))
-    fit = (F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb")) & ((num + den) * F.least("la", "lb") >= num * (F.size("sa") + F.size("sb")))
-    once = F.get(F.array_intersect("fa", "fb"), F.lit(0)) == x["h"]
-    meet = x.join(y, (x["h"] == y["h"]) & (x["block"] == y["block"]) & fit & once & similar(F.col("sa"), F.col("sb"))).select("a", "b")
-    return copies.union(stars).union(durable(meet, "links"))
+    x = full.select("h", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("block"), F.col("id").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra"), F.col("left").alias("la"), *[F.col(c).alias(f"{c}a") for c in also])
+    y = full.select("h", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.col("id").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"), F.col("left").alias("lb"), *[F.col(c).alias(f"{c}b") for c in also])
+    fit = (F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb")) & ((num + den) * F.least("la", "lb") >= num * (F.col("na") + F.col("nb")))
+    meet = (x["h"] == y["h"]) & (x["block"] == y["block"]) & fit
+    if short:
+        once = F.get(F.array_intersect("firsta", "firstb"), F.lit(0)) == x["h"]
+        return copies.union(stars).union(durable(x.join(y, meet & once & similar(F.col("seta"), F.col("setb"))).select("a", "b"), "links"))
+    return copies.union(stars).union(verified(x.join(y, meet).select("a", "b").distinct()))
