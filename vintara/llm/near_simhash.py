@@ -214,7 +214,8 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
     Texts are linked at a Jaccard similarity of at least 0.8 of their sets of shingles of
     ``shingle`` words (words and short texts as in ``fingerprints``; texts without words are
     alike). Every such pair is found or joined through others. Rows with a null id have no
-    name to be kept by and stay; of rows that repeat the kept id, all stay.
+    name to be kept by and stay; of rows that repeat the kept id, all of the group stay. A row
+    is judged by its own text, whatever other rows have its id.
     """
     base = id_text(docs, id_col, text_col).withColumn("k", F.xxhash64("text"))
     words = durable(base.select(F.col("k").alias("id"), "text").distinct(), "texts").select("id", ascii_words(lower_ascii(F.col("text"))).alias("w"))
@@ -224,8 +225,9 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
     label = connected_components(similar_links(sets, F.col("set"), short=False)).select(F.col("node").alias("k"), F.col("component").alias("root"))
     rows = base.select("doc_id", "k").join(label, "k", "left").select("doc_id", "k", F.coalesce("root", "k").alias("root"))
     least = rows.groupBy("root").agg(F.min("doc_id").alias("least"))
-    found = rows.join(least, "root").where("doc_id <> least").select(F.col("doc_id").alias("__dropped")).distinct()
-    return docs.join(found, F.col(f"`{id_col}`") == F.col("__dropped"), "left_anti")
+    found = rows.join(least, "root").where("doc_id <> least").select(F.col("doc_id").alias("__dropped"), F.col("k").alias("__text")).distinct()
+    same = F.xxhash64(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))) == F.col("__text")
+    return docs.join(found, (F.col(f"`{id_col}`") == F.col("__dropped")) & same, "left_anti")
 
 
 def query(spark, sf_dir: str) -> DataFrame:
