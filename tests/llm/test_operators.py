@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer, models, pre_tokenizers
 
-from vintara.llm import bpe, decontaminate, fingerprint, licenses, line_dedup, near_simhash, quality, set_join, token_store, toxicity, viterbi
+from vintara.llm import bpe, decontaminate, fingerprint, licenses, line_dedup, minhash, near_simhash, quality, token_store, toxicity, viterbi
 from vintara.llm.components import connected_components
 
 SF = "/root/testdata/sf0.001"
@@ -109,8 +109,7 @@ def test_op2_compares_whole_words(spark):
 
 def test_op2_recall(docs):
     base = docs.select("doc_id", "text")
-    lines = [r for r in line_dedup.lines_of(base).collect()]
-    text = {r["id"]: r["line"] for r in lines}
+    text = {hashlib.md5(r["line"].encode()).digest(): r["line"] for r in line_dedup.lines_of(base).collect()}
     shingle = lambda s: set(re.findall(r"(?<!\S)(?=(\S.{0,15}))", s))
     sets = {k: shingle(v) for k, v in text.items() if len(v) < 24 or " " in v}
     ids, want = sorted(sets), set()
@@ -119,7 +118,7 @@ def test_op2_recall(docs):
             a, b = sets[x], sets[y]
             if 5 * min(len(a), len(b)) >= 4 * max(len(a), len(b)) and len(a & b) >= 0.8 * len(a | b):
                 want.add((x, y))
-    root = {r["id"]: r["root"] for r in line_dedup.line_classes(base).collect()}
+    root = {bytes(r["key"]): r["g"] for r in line_dedup.line_groups(base).collect()}
     assert sum(x in root and root.get(x) == root.get(y) for x, y in want) >= 0.95 * len(want)
 
 
@@ -135,9 +134,8 @@ def test_op2_loses_no_pair(spark):
     lines = sorted(set(lines))
     sets = [set(re.findall(r"(?<!\S)(?=(\S.{0,15}))", x)) for x in lines]
     df = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
-    name = {r["line"]: r["id"] for r in line_dedup.lines_of(df).collect()}
-    root = {r["id"]: r["root"] for r in line_dedup.line_classes(df).collect()}
-    mine = [root.get(name[x], name[x]) for x in lines]
+    root = {bytes(r["key"]): r["g"] for r in line_dedup.line_groups(df).collect()}
+    mine = [root.get(hashlib.md5(x.encode()).digest(), x) for x in lines]
     up = list(range(len(lines)))
     for i, a in enumerate(sets):
         for j in range(i):
@@ -148,13 +146,15 @@ def test_op2_loses_no_pair(spark):
     assert len(set(zip(mine, up))) == len(set(mine)) == len(set(up))
 
 
-def test_set_join_equals_brute_force(spark, monkeypatch):
+def test_minhash_join_equals_brute_force(spark, monkeypatch):
     r = np.random.default_rng(9)
-    monkeypatch.setattr(set_join, "BLOCK", 8)
+    monkeypatch.setattr(minhash, "BLOCK", 8)
+    monkeypatch.setattr(minhash, "FULL", 6)
     base = [set(r.choice(60, int(r.integers(1, 25)), replace=False).tolist()) for _ in range(150)]
     sets = [*base, *base[:20], *[{*list(b)[1:], 99} for b in base if len(b) > 8], *[{*range(12), 100 + i} - {i % 12} for i in range(60)], set()]
     df = spark.createDataFrame([(i, sorted(s)) for i, s in enumerate(sets)], "id long, set array<long>")
-    comp = {x["node"]: x["component"] for x in connected_components(set_join.similar_links(df, F.col("set"))).collect()}
+    hashed = F.transform("set", lambda x: F.xxhash64(x))
+    comp = {x["node"]: x["component"] for x in connected_components(minhash.similar_links(minhash.sketched(df, hashed), hashed)).collect()}
     up = list(range(len(sets)))
     for i, a in enumerate(sets):
         for j in range(i):
@@ -162,7 +162,7 @@ def test_set_join_equals_brute_force(spark, monkeypatch):
                 old, new = max(up[i], up[j]), min(up[i], up[j])
                 up = [new if x == old else x for x in up]
     assert [comp.get(i, i) for i in range(len(sets))] == up and len(set(up)) < len(sets) - 30
-    assert set_join.similar_links(df.limit(0), F.col("set")).count() == 0
+    assert minhash.similar_links(minhash.sketched(df.limit(0), hashed), hashed).count() == 0
 
 
 @pytest.mark.parametrize("which", ["docs", "edge"])
@@ -288,6 +288,74 @@ def test_op7_narrow_lines():
         assert licenses.licences(found) == [("MIT", 0, len(text))]
 
 
+FULL_TEXTS = {
+    "MIT": ["Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:", "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software."],
+    "BSD-2-Clause": ["Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:", "1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.", "2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."],
+    "Apache-2.0": ['Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License.', "You may obtain a copy of the License at", 'Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.'],
+    "GPL-3.0": ["This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.", "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE."],
+    "MPL-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."],
+}
+FULL_TEXTS["BSD-3-Clause"] = [*FULL_TEXTS["BSD-2-Clause"], "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."]
+
+
+def slow_licences(text):
+    """Every run of pieces looked up, every choice of sentences tried, hits merged and nested ones dropped pair by pair."""
+    known = {w: k for k, ws in licenses.SENTENCES.items() for w in ws}
+    pieces = [(at, x, n) for at, x in licenses.sentences(text) if (n := licenses.normalise(x))]
+    found, i, no = [], 0, 0
+    while i < len(pieces):
+        ends = [j for j in range(i, len(pieces)) if " ".join(p[2] for p in pieces[i : j + 1]) in known]
+        if ends:
+            j = ends[-1]
+            found.append((no, pieces[i][0], pieces[j][0] + len(pieces[j][1].rstrip()), known[" ".join(p[2] for p in pieces[i : j + 1])]))
+        i, no = (ends[-1] if ends else i) + 1, no + 1
+    hits = []
+    for name, seqs in licenses.RULES.items():
+        for seq in seqs:
+            ways = [[f] for f in found if f[3] == seq[0]]
+            for want in seq[1:]:
+                ways = [w + [f] for w in ways for f in found if f[3] == want and 0 < f[0] - w[-1][0] <= licenses.GAP + 1]
+            for start in {w[0][0] for w in ways}:  # the earliest way from each start
+                w = min((w for w in ways if w[0][0] == start), key=lambda w: [f[0] for f in w])
+                hits.append([name, w[0][0], w[-1][0], w[0][1], w[-1][2]])
+    again = True
+    while again:
+        again = False
+        for a in hits:
+            b = next((b for b in hits if b is not a and a[0] == b[0] and a[1] <= b[1] and b[1] - a[2] <= licenses.GAP + 1), None)
+            if b:
+                a[2], a[4], again = max(a[2], b[2]), max(a[4], b[4]), True
+                hits.remove(b)
+                break
+    return sorted(((n, s, e) for n, _, _, s, e in hits if not any(m != n and s2 <= s and e2 >= e and e2 - s2 > e - s for m, _, _, s2, e2 in hits)), key=lambda x: (x[1], x[2], x[0]))
+
+
+@pytest.mark.parametrize("width", [30, 45, 60, 80, 100])
+@pytest.mark.parametrize("mark", ["", "# ", " * ", "// "])
+def test_op7_whole_texts_wrapped(width, mark):
+    for name, parts in FULL_TEXTS.items():
+        text = "\n".join(mark + x for part in parts for x in [*textwrap.wrap(part, width), ""])
+        assert [x[0] for x in licenses.licences(licenses.identifiers(text))] == [name]
+        assert licenses.licences(licenses.identifiers(text)) == slow_licences(text)
+
+
+def test_op7_equals_slow_version():
+    r = np.random.default_rng(4)
+    parts = [p for ps in FULL_TEXTS.values() for p in ps] + ["Released under the MIT license.", "SPDX-License-Identifier: GPL-2.0-or-later", "All rights reserved.", "The boost licence of readers.", "Prose with a notice; more of it!", "x y z.", "Open database.", "..."]
+    for _ in range(150):
+        text = "\n".join("\n".join(textwrap.wrap(parts[int(i)], int(r.integers(25, 200)))) for i in r.integers(0, len(parts), int(r.integers(1, 14))))
+        assert licenses.licences(licenses.identifiers(text)) == slow_licences(text)
+
+
+def test_op7_edges(spark, edge):
+    got = licenses.scan(edge.withColumn("licenses", F.lit(1)).withColumn("starts", F.lit("x"))).collect()
+    assert len(got) == len(EDGES) and all(r["licenses"] == [] for r in got)
+    assert licenses.scan(edge.limit(0)).count() == 0
+    long = "word " * 400_000 + "\nReleased under the MIT License.\n" + "word " * 100
+    twice = spark.createDataFrame([(1, long), (1, long)], "doc_id long, text string")
+    assert [r["licenses"] for r in licenses.scan(twice).collect()] == [["MIT"]] * 2
+
+
 def test_op8_equals_library(docs, edge):
     path = viterbi.default_path()
     t = Tokenizer(models.Unigram(viterbi.unigram_vocabulary(path), unk_id=0, byte_fallback=True))
@@ -306,13 +374,28 @@ def test_op9_edited_texts(docs, edge):
         for i, (d, x) in enumerate(data):
             k, nxt = len(x) // 3, data[(i + 1) % len(data)][1]
             want[d] = (len(x), hashlib.sha256((x[: len(x) - k] + nxt[:k]).encode()).hexdigest())
-        got = fingerprint.edited_fingerprints(df).collect()
+        got = fingerprint.report(df).collect()
         assert {r["doc_id"]: (r["n_chars"], r["edited_sha256"]) for r in got} == want
         fp = {d: r["fingerprint"] for r in got for d in [r["doc_id"]]}
         for i, (d, x) in enumerate(data):
             r = next(r for r in got if r["doc_id"] == d)
             assert r["near_next"] == 1 - (int(fp[d], 16) ^ int(fp[data[(i + 1) % len(data)][0]], 16)).bit_count() / 64
-    assert fingerprint.edited_fingerprints(edge).count() == len(EDGES) and fingerprint.edited_fingerprints(edge.limit(0)).count() == 0
+            k, nxt = len(x) // 3, data[(i + 1) % len(data)][1]
+            edited = weighted_simhash(x[: len(x) - k] + nxt[:k])
+            assert int(fp[d], 16) == weighted_simhash(x) and int(r["edited_fingerprint"], 16) == edited
+            assert r["near_edited"] == 1 - (int(fp[d], 16) ^ edited).bit_count() / 64
+            near = [e for e in fp if (int(fp[e], 16) ^ int(fp[d], 16)).bit_count() <= 3]
+            assert (r["near_docs"], r["near_least"]) == ((len(near) - 1, min(near)) if d % 20 == 0 else (None, None))
+    assert fingerprint.report(edge).count() == len(EDGES) and fingerprint.report(edge.limit(0)).count() == 0
+
+
+def weighted_simhash(text):
+    w = re.findall(r"[^\x20\x09-\x0D]+", text)
+    terms = [(xxhash.xxh64_intdigest(b.encode(), xxhash.xxh64_intdigest(a.encode(), 42)), min(15, len(a.encode()) + len(b.encode()))) for a, b in zip(w, w[1:])]
+    if len(w) == 1:
+        terms = [(xxhash.xxh64_intdigest(w[0].encode(), 42), min(15, len(w[0].encode())))]
+    total = sum(x for _, x in terms)
+    return sum(1 << j for j in range(64) if 2 * sum(x for h, x in terms if h >> j & 1) > total)
 
 
 def test_op9_block_tables(spark):

@@ -22,7 +22,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_text, map_arrow, new_dir, table
+from .common import durable, forget, id_text, map_arrow, new_dir, table
 from .files import pack, put, unpack
 from .words import Memo
 
@@ -272,14 +272,31 @@ def split_words(text: str) -> list[str]:
     return text.split()
 
 
+def frequent_words(docs: DataFrame, words: int = LEXICON_WORDS) -> list[str]:
+    """At most ``words`` of the most frequent words of the whole texts of all documents, words of one count together in or out.
+
+    Only a histogram of the counts (a row per sixteenth of an octave, under 1,024 rows) and
+    the chosen words come to the driver, however many partitions or words there are.
+    """
+    each = id_text(docs).select(F.explode(F.split("text", r"\s+")).alias("w")).where(F.length("w").between(1, LEXICON_CHARS))
+    counts = durable(each.groupBy("w").agg(F.count("*").alias("n")).where("n > 1").select("w", F.floor(F.log2("n") * 16).cast("int").alias("step")), "words")
+    total, low = 0, None
+    for r in sorted(counts.groupBy("step").count().collect(), reverse=True):
+        total += r["count"]
+        if total > words:
+            break
+        low = r["step"]
+    top = [] if low is None else [r["w"] for r in counts.where(F.col("step") >= low).select("w").collect()]
+    forget(counts)
+    return top
+
+
 def build_lexicon(docs: DataFrame, path: str, words: int = LEXICON_WORDS) -> str:
     """Compile the lexicon and write it to the shared folder; returns its URI.
 
-    It holds the vocabulary's own whole words and the pieces of the ``words`` most frequent
-    words, counted over the whole texts of all documents; only these come to the driver.
+    It holds the vocabulary's own whole words and the pieces of the most frequent words.
     """
-    each = id_text(docs).select(F.explode(F.split("text", r"\s+")).alias("w")).where(F.length("w").between(1, LEXICON_CHARS))
-    top = [r["w"] for r in each.groupBy("w").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "w").limit(words).collect()]
+    top = frequent_words(docs, words)
     model = WordBpe(path)
     back = {s: b for b, s in enumerate(byte_symbols())}
     whole = [bytes(back[c] for c in s[: -len(model.end)]) for s in model.vocab if s.endswith(model.end) and len(s) > len(model.end)]

@@ -46,7 +46,7 @@ def durable(df: DataFrame, what: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = new_dir(spark, what)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._vintara_path = path
     return out

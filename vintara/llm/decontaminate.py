@@ -9,6 +9,11 @@ every such value, so no window within the radius is missed. Candidates are verif
 Jaccard similarity of five-word shingles, plain or weighted by how many distinct items of the
 whole benchmark share a shingle, whichever is more, between the item and the best alignment
 of an item-long window.
+
+Windows come at steps of one to four words, so a passage may lie between two of them. What the
+steps pass over is found by word pairs: of each item so many pairs are looked up at every word
+of a document that a passage without any of them would lack more than a fifth of the item's
+shingles. They also stand for items of one word, and for those too long for the vote lanes.
 """
 
 from __future__ import annotations
@@ -22,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from .common import durable, id_text, map_arrow, table
 from .words import Memo
@@ -29,6 +35,8 @@ from .words import Memo
 SHINGLE, SIMILARITY, RADIUS, BLOCKS = 5, 0.8, 11, 4
 #: Items that are looked for at a time, which bounds what every worker holds; all items are looked for.
 ITEM_BLOCK = 20_000
+#: Longest window; the vote lanes hold fewer than 2^15 terms.
+LONGEST = 1 << 14
 #: Words slid over at a time; a longer text goes in parts that overlap by the longest window.
 STREAM_WORDS = 1 << 17
 _LANES = np.uint64(0x0001000100010001)
@@ -130,16 +138,70 @@ class Items:
         #: A shingle that many distinct items share says less about each.
         self.weight = {x: 1.0 / shares.get(x, 1) for s in self.sets for x in s}
         self.total = [sum(self.weight[x] for x in s) for s in self.sets]
-        self.classes = size_classes(self.length)
+        self.classes = size_classes([n for n in self.length if n <= LONGEST])
+        self.longest = max(self.classes, default=0)
+        self._find_pairs([h for _, h in words])
         parts: dict[int, list[tuple[int, int, int]]] = defaultdict(list)  # size -> (fingerprint, item, offset)
         for i, (_, h) in enumerate(words):
-            size = max(c for c in self.classes if c <= len(h))
+            if not 1 < len(h) <= LONGEST:
+                continue
+            size = max((c for c in self.classes if 1 < c <= len(h)), default=0)
+            if not size:
+                continue
             v = cumulative_votes(pair_terms(h))
             at = np.arange(len(h) - size + 1)
             for o, f in zip(at.tolist(), fingerprints_between(v, at, at + size - 1, size - 1).tolist()):
                 parts[size].append((f, i, o))
         self.tables = {size: self._table(p) for size, p in parts.items()}
 
+    def _find_pairs(self, words: list[np.ndarray]) -> None:
+        """The pairs (or, of an item of one word, the word) to look up: sorted codes, item and offset of each.
+
+        Taken from the rarest on, until the shingles that hold one of them are more than a
+        fifth of the item's, both by number and by weight: any passage of a similarity of
+        ``SIMILARITY`` or more has at least one of the pairs.
+        """
+        terms = [pair_terms(h) for h in words]
+        common = defaultdict(int)
+        for t in terms:
+            for x in t.tolist():
+                common[x] += 1
+        got: list[tuple[int, int, int]] = []
+        self.singles: dict[int, list[int]] = defaultdict(list)
+        for i, (h, t) in enumerate(zip(words, terms)):
+            if len(h) == 1:
+                self.singles[int(h[0])].append(i)
+                continue
+            k, sh, own, held = min(SHINGLE, len(h)), shingles(h).tolist(), self.sets[i], set()
+            pairs = t.tolist()
+            for j in sorted(range(len(pairs)), key=lambda j: (common[pairs[j]], j)):
+                new = set(sh[max(0, j - k + 2) : j + 1]) - held
+                if not new:
+                    continue
+                held |= new
+                got.append((pairs[j], i, j))
+                if len(held) > (1 - SIMILARITY) * len(own) and sum(self.weight[x] for x in held) > (1 - SIMILARITY) * self.total[i]:
+                    break
+        got.sort()
+        self.pair = np.array([g[0] for g in got], np.uint64)
+        self.pair_item, self.pair_at = np.array([g[1] for g in got], np.int64), np.array([g[2] for g in got], np.int64)
+        self.marked = np.zeros(1 << 16, np.bool_)
+        self.marked[(self.pair & np.uint64(0xFFFF)).astype(np.int64)] = True
+        self.single = np.array(sorted(self.singles), np.uint64)
+
+    def pairs_in(self, terms: np.ndarray, h: np.ndarray) -> Iterator[tuple[int, int, int]]:
+        """``(place, item, offset)`` of each looked-up pair among ``terms``, and of each one-word item among the words ``h``."""
+        at = np.flatnonzero(self.marked[(terms & np.uint64(0xFFFF)).astype(np.int64)])
+        low, high = np.searchsorted(self.pair, terms[at], "left"), np.searchsorted(self.pair, terms[at], "right")
+        some = high > low
+        for p, a, b in zip(at[some].tolist(), low[some].tolist(), high[some].tolist()):
+            for j in range(a, b):
+                yield p, int(self.pair_item[j]), int(self.pair_at[j])
+        if len(self.single):
+            for p in np.flatnonzero(np.isin(h, self.single)).tolist():
+                for i in self.singles[int(h[p])]:
+                    yield p, i, 0
+
     @staticmethod
     def _table(parts: list[tuple[int, int, int]]):
         """Parts, and per block the parts near each 16-bit value as ``first`` and ``member`` arrays."""
@@ -185,16 +247,31 @@ class Items:
         low = max(0, min(start - slack, len(h) - n))
         high = max(low, min(start + slack, len(h) - n))
         sh = shingles(h[low : high + n], k).tolist()
+        wide = n - k + 1
+        # the window slides by a shingle: counts of its distinct shingles, those of the item and others, plain and by weight
+        count: dict[int, int] = {}
+        common, other, both, rest = 0, 0, 0.0, 0.0
         best = (0.0, low)
-        for s in range(high - low + 1):
-            win = set(sh[s : s + n - k + 1])
-            common = win & own
-            if common:
-                both = sum(weight[x] for x in common)
-                union = total + sum(weight.get(x, 1.0) for x in win - own)
-                got = max(both / union, len(common) / len(win | own))
+        for e, x in enumerate(sh):
+            c = count.get(x, 0)
+            count[x] = c + 1
+            if not c:
+                if x in own:
+                    common, both = common + 1, both + weight[x]
+                else:
+                    other, rest = other + 1, rest + weight.get(x, 1.0)
+            if e >= wide:
+                x = sh[e - wide]
+                count[x] -= 1
+                if not count[x]:
+                    if x in own:
+                        common, both = common - 1, both - weight[x]
+                    else:
+                        other, rest = other - 1, rest - weight.get(x, 1.0)
+            if common and (e >= wide - 1 or e == len(sh) - 1):
+                got = max(round(both / (total + rest), 12), common / (len(own) + other))
                 if got > best[0]:
-                    best = (got, low + s)
+                    best = (got, low + max(0, e - wide + 1))
         return best
 
 
@@ -208,7 +285,7 @@ def _streams(docs: list[np.ndarray], reach: int) -> Iterator[tuple[np.ndarray, l
     for d, h in enumerate(docs):
         for s in range(0, max(1, len(h)), STREAM_WORDS):
             x = h[s : s + STREAM_WORDS + reach]
-            if len(x) < 2:
+            if not len(x):
                 continue
             hold.append(np.concatenate([x, np.zeros(-len(x) % 8, np.uint64)]))
             parts.append((d, s, at, len(x)))
@@ -224,11 +301,21 @@ def find_items(docs: list[np.ndarray], items: Items) -> list[tuple[int, int, flo
     """``(document, item, similarity, first word)`` of each item that a document holds, its best place."""
     best: dict[tuple[int, int], tuple[float, int]] = {}
     tried: set[tuple[int, int, int]] = set()
-    longest = max(items.length, default=0)
-    for h, parts in _streams(docs, longest + 8):
-        if len(h) < 2:
-            continue
-        votes = cumulative_votes(pair_terms(h))
+
+    def judge(p: int, i: int, s: int) -> None:
+        """Compare item ``i`` with the windows around place ``s`` of part ``p``, once per stretch of eight words."""
+        d, first, where, _ = parts[p]
+        guess = first + s - where
+        if (d, i, guess // 8) in tried or best.get((d, i), (0.0, 0))[0] >= 1.0:
+            return
+        tried.add((d, i, guess // 8))
+        sim, start = items.similarity(i, docs[d], guess)
+        if sim >= SIMILARITY and sim > best.get((d, i), (0.0, 0))[0]:
+            best[d, i] = (sim, start)
+
+    for h, parts in _streams(docs, items.longest + 8):
+        pairs = pair_terms(h)
+        votes = cumulative_votes(pairs)
         place = np.array([p[2] for p in parts])
         words = np.array([p[3] for p in parts])
         for size in items.tables:
@@ -258,15 +345,11 @@ def find_items(docs: list[np.ndarray], items: Items) -> list[tuple[int, int, flo
                 continue
             part = np.searchsorted(place, at[w], "right") - 1
             for p, i, s in zip(part.tolist(), item.tolist(), (at[w] - offset).tolist()):
-                d, first, where, _ = parts[p]
-                guess = first + s - where
-                key = (d, i, guess // 8)
-                if key in tried:
-                    continue
-                tried.add(key)
-                sim, start = items.similarity(i, docs[d], guess)
-                if sim >= SIMILARITY and sim > best.get((d, i), (0.0, 0))[0]:
-                    best[d, i] = (sim, start)
+                judge(p, i, s)
+        for at, i, offset in items.pairs_in(pairs, h):
+            p = int(np.searchsorted(place, at, "right")) - 1
+            if at + min(2, items.length[i]) <= place[p] + words[p]:
+                judge(p, i, at - offset)
     return [(d, items.ids[i], sim, at) for (d, i), (sim, at) in sorted(best.items())]
 
 
@@ -278,11 +361,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
     Words are runs without white space, compared by their letters and digits in lower case.
     Items and documents without words, null or empty, match nothing; an item of a single word
-    is passed over. Rows that repeat in ``docs`` give rows that repeat; of items that repeat
+    is held by every document that has the word. Rows that repeat in ``docs`` give rows that repeat; of items that repeat
     an id each is looked for. Items come to the driver in blocks of ``ITEM_BLOCK``.
     """
     base = id_text(docs, id_col, text_col)
     kind, item_kind = dict(base.dtypes)["doc_id"], dict(benchmark.dtypes)[item_col]
+    item_type = to_arrow_type(benchmark.schema[item_col].dataType)
     found = None
 
     def search(chosen: list[tuple[int, str]], shares: dict[int, int] | None = None) -> DataFrame:
@@ -293,7 +377,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
             for b in batches:
                 got = find_items(hashes(b.column("text").to_pylist(), _MEMO[0]), items)
                 ids = b.column("doc_id").take(pa.array([g[0] for g in got], pa.int64()))
-                yield pa.RecordBatch.from_arrays([ids, pa.array([g[1] for g in got]).cast(_arrow(item_kind)), pa.array([g[2] for g in got], pa.float64()), pa.array([g[3] for g in got], pa.int64())], ["doc_id", "item_id", "similarity", "first_word"])
+                yield pa.RecordBatch.from_arrays([ids, pa.array([g[1] for g in got], item_type), pa.array([g[2] for g in got], pa.float64()), pa.array([g[3] for g in got], pa.int64())], ["doc_id", "item_id", "similarity", "first_word"])
 
         return map_arrow(base, run, f"doc_id {kind}, item_id {item_kind}, similarity double, first_word bigint")
 
@@ -333,17 +417,14 @@ def _shares(benchmark: DataFrame, item_text: str) -> DataFrame:
     return durable(items.distinct().select(F.explode("xs").alias("x")).groupBy("x").agg(F.count("*").alias("n")).where("n > 1"), "shares")
 
 
-def _arrow(kind: str) -> pa.DataType:
-    return {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]
-
-
 def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without the rows whose text holds a benchmark item; all columns pass through.
 
     Rows are judged singly, so null and repeated ids need no care. Each block of items is
     looked for in what the blocks before it left.
     """
-    kept = docs.withColumn("__text", F.coalesce("text", F.lit("")))
+    # the columns travel as one struct, so that no name of theirs can clash
+    kept = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     schema, many = kept.schema, False
 
     def without(chosen: list[tuple[int, str]], shares: dict[int, int] | None):
@@ -353,7 +434,7 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                 _MEMO.append(Memo(lambda ws: map(word_hash, ws)))
             for b in batches:
                 clean = np.ones(b.num_rows, np.bool_)
-                clean[[g[0] for g in find_items(hashes(b.column("__text").to_pylist(), _MEMO[0]), items)]] = False
+                clean[[g[0] for g in find_items(hashes(b.column("text").to_pylist(), _MEMO[0]), items)]] = False
                 yield b.filter(pa.array(clean))
 
         return run
@@ -361,7 +442,7 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     for block in _item_blocks(benchmark):
         kept = map_arrow(durable(kept, "clean") if many else kept, without(*block), schema)
         many = True
-    return kept.drop("__text")
+    return kept.select("row.*")
 
 
 def query(spark, sf_dir: str) -> DataFrame:

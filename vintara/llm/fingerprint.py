@@ -12,7 +12,7 @@ from itertools import combinations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ascii_words, id_text, shingle_structs, table
+from .common import ascii_words, durable, id_text, shingle_structs, table
 from .simhash import LANES, fingerprint, likeness, to_hex, votes
 
 #: Rows of a bucket of neighbouring ids, and the most buckets (beyond it they grow; the sort spills).
@@ -34,6 +34,29 @@ def text_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     return votes(weighted_terms(base, F.col("text"), ["rid", "doc_id"]), ["rid", "doc_id"], "h", "w").select("doc_id", fingerprint().alias("fp"))
 
 
+def block_masks(radius: int, blocks: int) -> list[int]:
+    """Masks (as signed longs) of the tables: a choice of ``blocks - radius`` of the blocks that 64 bits are cut into, each."""
+    if not 0 <= radius < blocks <= 16:
+        raise ValueError("0 <= radius < blocks <= 16 is needed")
+    edge = [round(64 * i / blocks) for i in range(blocks + 1)]
+    signed = lambda m: m - (1 << 64) if m >> 63 else m
+    return [signed(sum(((1 << edge[i + 1]) - (1 << edge[i])) for i in kept)) for kept in combinations(range(blocks), blocks - radius)]
+
+
+def _keyed(prints: DataFrame, masks: list[int]) -> DataFrame:
+    """``prints`` (with ``fp``) once per table: ``t`` its number, ``k`` the fingerprint's bits in it."""
+    return prints.select("*", F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(m)) for m in masks])).alias("t", "k"))
+
+
+def _meet(a, b, t, masks: list[int], radius: int):
+    """Whether two fingerprints of one bucket of table ``t`` are within ``radius``, and ``t`` is the first table that they meet in."""
+    x = a.bitwiseXOR(b)
+    first = F.lit(None)
+    for i in reversed(range(len(masks))):
+        first = F.when(x.bitwiseAND(F.lit(masks[i])) == 0, F.lit(i)).otherwise(first)
+    return (F.bit_count(x) <= radius) & (first == t)
+
+
 def within_radius(fps: DataFrame, radius: int = 3, blocks: int = 6) -> DataFrame:
     """``a, b, distance``: all pairs ``a < b`` of distinct fingerprints (longs) at most ``radius`` bits apart.
 
@@ -42,18 +65,28 @@ def within_radius(fps: DataFrame, radius: int = 3, blocks: int = 6) -> DataFrame
     their bits, holds every such pair in one bucket. ``fps`` has a column ``fp``; nulls and
     repeats are ignored, so a group of exact copies is one fingerprint here. The result grows
     with the number of near pairs; to group near copies use ``near_simhash``, which emits a
-    spanning forest instead.
+    spanning forest instead, and for a set of queries ``near_search``.
     """
-    if not 0 <= radius < blocks <= 16:
-        raise ValueError("0 <= radius < blocks <= 16 is needed")
+    masks = block_masks(radius, blocks)
     one = fps.select("fp").where("fp is not null").distinct()
-    edge = [round(64 * i / blocks) for i in range(blocks + 1)]
-    signed = lambda m: m - (1 << 64) if m >> 63 else m
-    masks = [signed(sum(((1 << edge[i + 1]) - (1 << edge[i])) for i in kept)) for kept in combinations(range(blocks), blocks - radius)]
-    keyed = lambda name: one.select(F.col("fp").alias(name), F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(m)) for m in masks])).alias("t", "k"))
-    near = keyed("a").join(keyed("b"), ["t", "k"]).where("a < b")
-    dist = F.bit_count(F.col("a").bitwiseXOR(F.col("b")))
-    return near.select("a", "b", dist.alias("distance")).where(F.col("distance") <= radius).distinct()
+    a, b = _keyed(one, masks).withColumnRenamed("fp", "a"), _keyed(one, masks).withColumnRenamed("fp", "b")
+    on = (a["t"] == b["t"]) & (a["k"] == b["k"]) & (F.col("a") < F.col("b")) & _meet(F.col("a"), F.col("b"), a["t"], masks, radius)
+    return a.join(b, on).select("a", "b", F.bit_count(F.col("a").bitwiseXOR(F.col("b"))).cast("int").alias("distance"))
+
+
+def near_search(prints: DataFrame, queries: DataFrame, radius: int = 3, blocks: int = 6) -> DataFrame:
+    """``fp, near_rows, least_id``: for each distinct fingerprint of ``queries`` the rows of ``prints`` within ``radius`` bits of it, its own among them, and their smallest id.
+
+    ``prints`` has ``doc_id, fp``, a row per document; equal fingerprints are counted into
+    one before anything meets. All tables of all fingerprints are searched (``within_radius``
+    says why that finds every one); no pair leaves the join but into the sums. Null ids are
+    counted but name nothing.
+    """
+    masks = block_masks(radius, blocks)
+    each = prints.groupBy("fp").agg(F.count("*").alias("n"), F.min("doc_id").alias("low"))
+    a, b = _keyed(queries.select("fp").distinct(), masks).withColumnRenamed("fp", "q"), _keyed(each, masks)
+    on = (a["t"] == b["t"]) & (a["k"] == b["k"]) & _meet(F.col("q"), F.col("fp"), a["t"], masks, radius)
+    return a.join(b, on).groupBy("q").agg(F.sum("n").alias("near_rows"), F.min("low").alias("least_id")).withColumnRenamed("q", "fp")
 
 
 def _bucket(key, bounds: list[int]):
@@ -93,12 +126,12 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
 
 
 def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Fingerprints of every text and of its edited text, a row per input row.
+    """Fingerprints (longs ``fp``, ``efp``; ``nfp`` is the next document's) of every text and of its edited text, a row per input row.
 
     The edited text has its last ``floor(n_chars / 3)`` code points replaced by the first as
-    many of the next document. Columns: ``doc_id, n_chars, edited_sha256, fingerprint,
-    edited_fingerprint, near_edited, near_next``. Null texts count as empty; a table of one
-    row has itself as next. Other columns of ``docs`` are not read.
+    many of the next document. Columns: ``doc_id, n_chars, edited_sha256, fp, efp, nfp``. Null
+    texts count as empty; a table of one row has itself as next. Other columns of ``docs`` are
+    not read.
     """
     pairs = with_next(docs, id_col, text_col)
     cut = F.floor(F.length("text") / 3).cast("int")
@@ -123,12 +156,28 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         F.max(F.when(F.col("kind") == 0, F.col("fp"))).alias("fp"), F.max(F.when(F.col("kind") == 1, F.col("fp"))).alias("efp"),
     )
     following = both.withColumn("nfp", F.lead("fp").over(Window.partitionBy("bucket").orderBy("rn"))).where(~F.col("ghost"))
-    return following.select(
-        "doc_id", "n_chars", sha.alias("edited_sha256"), to_hex(F.col("fp")).alias("fingerprint"), to_hex(F.col("efp")).alias("edited_fingerprint"),
-        likeness(F.col("fp"), F.col("efp")).alias("near_edited"), likeness(F.col("fp"), F.col("nfp")).alias("near_next"),
+    return following.select("doc_id", "n_chars", sha.alias("edited_sha256"), "fp", "efp", "nfp")
+
+
+def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", every: int = 20, radius: int = 3) -> DataFrame:
+    """``edited_fingerprints`` in hex with likenesses, and what a search by the block tables finds.
+
+    Searched for is each row whose id is divisible by ``every``: ``near_docs`` is the number
+    of other rows whose fingerprint is within ``radius`` bits, ``near_least`` the smallest id
+    among these and itself. Both are null for all other rows, null ids included. A row per
+    input row; an empty table gives an empty table.
+    """
+    rows = durable(edited_fingerprints(docs, id_col, text_col), "prints")
+    asked = F.coalesce(F.col("doc_id") % every == 0, F.lit(False))
+    found = near_search(rows.select("doc_id", "fp"), rows.where(asked), radius)
+    searched = rows.where(asked).join(found, "fp").select(*rows.columns, (F.col("near_rows") - 1).alias("near_docs"), F.col("least_id").alias("near_least"))
+    others = rows.where(~asked).select("*", F.lit(None).cast("long").alias("near_docs"), F.lit(None).cast(dict(rows.dtypes)["doc_id"]).alias("near_least"))
+    return searched.union(others).select(
+        "doc_id", "n_chars", "edited_sha256", to_hex(F.col("fp")).alias("fingerprint"), to_hex(F.col("efp")).alias("edited_fingerprint"),
+        likeness(F.col("fp"), F.col("efp")).alias("near_edited"), likeness(F.col("fp"), F.col("nfp")).alias("near_next"), "near_docs", "near_least",
     )
 
 
 def query(spark, sf_dir: str) -> DataFrame:
     """Registered query ``op9_document_fingerprints``."""
-    return edited_fingerprints(table(spark, sf_dir, "documents"))
+    return report(table(spark, sf_dir, "documents"))

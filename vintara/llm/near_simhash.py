@@ -19,9 +19,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_words, durable, id_text, lower_ascii, map_pandas, shingle_structs, table
+from .common import ascii_words, durable, forget, id_text, lower_ascii, map_pandas, shingle_structs, table
 from .components import connected_components
-from .set_join import similar_links
+from .minhash import similar_links, sketched, verified
 from .simhash import fingerprint, to_hex, votes
 
 #: Sampled fingerprints that shape a tree. They set speed and balance only, never the result.
@@ -208,25 +208,53 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return rows.join(named, "fp").select("doc_id", to_hex(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def word_runs(text, k: int = 5):
+    """The set that two texts are compared on, as 64-bit hashes: runs of ``k`` words, or the whole sequence where there are fewer; of a text without words, the hash of none."""
+    w = ascii_words(lower_ascii(text))
+    runs = lambda a: F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(a) - (k - 1))), lambda i: F.xxhash64(F.slice(a, i, F.lit(k))))
+    return F.array_distinct(F.get(F.transform(F.array(w), lambda a: F.when(F.size(a) > k, runs(a)).otherwise(F.array(F.xxhash64(a)))), F.lit(0)))
+
+
+def similar_texts(texts: DataFrame, shingle: int = 5, radius: int = 3, trees: int = 2) -> DataFrame:
+    """``a, b``: verified links between texts whose sets of ``shingle``-word shingles have a Jaccard similarity of at least 0.8.
+
+    ``texts`` is a written table with distinct long ids ``id``, distinct texts ``text``, and their
+    sketches (``minhash.sketched`` by ``word_runs``). SimHash fingerprints of the shingles meet in
+    the vantage-point trees; as texts at 0.8 lie about ten bits apart, beyond what 64 bits can
+    tell from chance, pairs outside ``radius`` are added by MinHash sketches of the same
+    shingles (``minhash.py``). Both are verified exactly.
+    """
+    members = word_runs(F.col("text"), shingle)
+    prints = durable(fingerprints(texts.select("id", "text"), "id", "text", shingle).select(F.col("doc_id").alias("id"), "fp"), "simhash")
+    least = durable(prints.groupBy("fp").agg(F.min("id").alias("a")), "fps")
+    same = prints.join(least, "fp").where("id <> a").select("a", F.col("id").alias("b"))
+    edges = link_fingerprints(least.select("fp"), radius, trees).toDF("fa", "fb")
+    across = edges.join(least.select(F.col("fp").alias("fa"), "a"), "fa").join(least.select(F.col("fp").alias("fb"), F.col("a").alias("b")), "fb").select("a", "b")
+    close = verified(texts, members, same.union(across))
+    for used in (prints, least):
+        forget(used)
+    return close.union(similar_links(texts, members))
+
+
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5) -> DataFrame:
     """``docs`` with one row of each near-duplicate group: that of the smallest id.
 
     Texts are linked at a Jaccard similarity of at least 0.8 of their sets of shingles of
     ``shingle`` words (words and short texts as in ``fingerprints``; texts without words are
-    alike). Every such pair is found or joined through others. Rows with a null id have no
-    name to be kept by and stay; of rows that repeat the kept id, all of the group stay. A row
-    is judged by its own text, whatever other rows have its id.
+    alike), see ``similar_texts``. Rows with a null id have no name to be kept by and stay; of
+    rows that repeat the kept id, all of the group stay. A row is judged by its own text,
+    whatever other rows have its id. All columns pass through.
     """
-    base = id_text(docs, id_col, text_col).withColumn("k", F.xxhash64("text"))
-    words = durable(base.select(F.col("k").alias("id"), "text").distinct(), "texts").select("id", ascii_words(lower_ascii(F.col("text"))).alias("w"))
-    runs = F.transform(shingle_structs(F.col("w"), shingle), lambda s: F.xxhash64(F.concat_ws(" ", *[s[f"w{i + 1}"] for i in range(shingle)])))
-    members = F.when(F.size("w") == 0, F.array(F.lit(0).cast("long"))).otherwise(F.array_distinct(runs))
-    sets = durable(words.select("id", members.alias("set")), "sets")
-    label = connected_components(similar_links(sets, F.col("set"), short=False)).select(F.col("node").alias("k"), F.col("component").alias("root"))
-    rows = base.select("doc_id", "k").join(label, "k", "left").select("doc_id", "k", F.coalesce("root", "k").alias("root"))
+    name = lambda text: F.unhex(F.md5(text))
+    base = id_text(docs, id_col, text_col)
+    each = base.select("text").distinct().select(F.monotonically_increasing_id().alias("id"), "text", name(F.col("text")).alias("k"))
+    texts = durable(sketched(each, word_runs(F.col("text"), shingle)), "texts")
+    label = connected_components(similar_texts(texts, shingle))
+    rooted = texts.select("id", "k").join(label.withColumnRenamed("node", "id"), "id", "left").select("k", F.coalesce("component", "id").alias("root"))
+    rows = base.select("doc_id", name(F.col("text")).alias("k")).join(rooted, "k").select("doc_id", "k", "root")
     least = rows.groupBy("root").agg(F.min("doc_id").alias("least"))
     found = rows.join(least, "root").where("doc_id <> least").select(F.col("doc_id").alias("__dropped"), F.col("k").alias("__text")).distinct()
-    same = F.xxhash64(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))) == F.col("__text")
+    same = name(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))) == F.col("__text")
     return docs.join(found, (F.col(f"`{id_col}`") == F.col("__dropped")) & same, "left_anti")
 
 

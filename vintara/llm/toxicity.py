@@ -1,7 +1,7 @@
 """Operator 10: toxicity by a bidirectional gated recurrent network with attention pooling.
 
 Each word is a vector: an embedding of the word, if the training rows have it often enough,
-beside the mean embedding of its character trigrams. Two gated recurrent layers read a window
+beside the mean embedding of the runs of three to five bytes in it. Two gated recurrent layers read a window
 of words in both directions, attention pools their states, and a logistic unit scores the
 window. A document is scored on all of its overlapping windows and has the highest score.
 Network and training are numpy; training is multiple-instance: of a toxic document, the
@@ -27,9 +27,11 @@ from .words import Memo
 
 CUT = 0.7
 #: Most labelled rows of each class that the network is trained on, and most words it knows by themselves.
-SAMPLE_PER_CLASS, VOCABULARY = 500, 4096
+SAMPLE_PER_CLASS, VOCABULARY = 1000, 4096
 WINDOW, STEP = 64, 48
-HIDDEN, WORD_DIM, CHAR_DIM, BUCKETS = 8, 6, 6, 1024
+HIDDEN, WORD_DIM, CHAR_DIM, BUCKETS = 8, 6, 6, 8192
+#: Lengths of the runs of bytes that a word's spelling is read in.
+GRAMS = (3, 4, 5)
 #: Windows that go through the network at a time.
 BATCH = 4096
 
@@ -39,19 +41,25 @@ def bare(word: str) -> str:
     return (word if word.isalnum() else "".join(c for c in word if c.isalnum())).lower()
 
 
-def trigram_rows(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Trigram buckets of all words end to end, with where each word's begin; ``^`` and ``$`` stand at the ends."""
+def gram_rows(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of the runs of ``GRAMS`` bytes of all words, one word after another, with where each word's begin; ``^`` and ``$`` stand at the ends."""
     raw = [b"^" + w.encode() + b"$" + b"$" * (not w) for w in words]
-    flat = np.frombuffer(b"".join(raw), np.uint8).astype(np.uint32)
+    flat = np.frombuffer(b"".join(raw), np.uint8).astype(np.uint64)
     size = np.fromiter(map(len, raw), np.int64, len(raw))
-    code = (flat[:-2] << 16 | flat[1:-1] << 8 | flat[2:]) * np.uint32(2654435761) >> np.uint32(22)
-    end = np.cumsum(size)
-    keep = np.ones(len(code), np.bool_)
-    for k in (2, 1):  # trigrams that would run over a word's end
-        at = end - k
-        keep[at[at < len(code)]] = False
-    first = np.concatenate([[0], np.cumsum(size - 2)[:-1]])
-    return code[keep].astype(np.int64), first
+    word, left = np.repeat(np.arange(len(raw)), size), np.repeat(np.cumsum(size), size) - np.arange(len(flat))
+    codes, owners = [], []
+    for k in GRAMS:
+        at = np.flatnonzero(left >= k)
+        x = np.full(len(at), k, np.uint64)
+        with np.errstate(over="ignore"):
+            for i in range(k):
+                x = (x + flat[at + i]) * np.uint64(0x9E3779B97F4A7C15)
+                x ^= x >> np.uint64(29)
+        codes.append((x % np.uint64(BUCKETS)).astype(np.int64))
+        owners.append(word[at])
+    owner = np.concatenate(owners)
+    order = np.argsort(owner, kind="stable")
+    return np.concatenate(codes)[order], np.searchsorted(owner[order], np.arange(len(raw)))
 
 
 def windows(n: int) -> list[int]:
@@ -86,11 +94,11 @@ class Network:
         return Network(vocabulary, w)
 
     def vectors(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, tuple[np.ndarray, np.ndarray]]:
-        """Input vector of each bare word, its row in the vocabulary, and its trigrams."""
+        """Input vector of each bare word, its row in the vocabulary, and its runs of bytes."""
         row = np.array([self.vocabulary.get(w, 0) for w in words], np.int64)
-        code, first = trigram_rows(words)
+        code, first = gram_rows(words)
         count = np.diff(np.append(first, len(code)))
-        mean = np.add.reduceat(self.weights["char"][code], first) / count[:, None]
+        mean = np.add.reduceat(self.weights["char"][code], first) / np.sqrt(count)[:, None]
         return np.concatenate([self.weights["word"][row], mean], 1), row, (code, first)
 
     def projected(self, words: list[str]) -> np.ndarray:
@@ -199,7 +207,7 @@ class Network:
         np.add.at(g["word"], vocab_row, d_vec[:, :WORD_DIM])
         g["word"][0] = 0
         count = np.diff(np.append(first, len(code)))
-        np.add.at(g["char"], code, np.repeat(d_vec[:, WORD_DIM:] / count[:, None], count, 0))
+        np.add.at(g["char"], code, np.repeat(d_vec[:, WORD_DIM:] / np.sqrt(count)[:, None], count, 0))
         return g
 
 
@@ -259,7 +267,7 @@ class Scorer:
         return out
 
 
-def train(texts: list[str], y: np.ndarray, epochs: int = 8, batch: int = 48, rate: float = 0.02, decay: float = 0.05, seed: int = 5) -> Network:
+def train(texts: list[str], y: np.ndarray, epochs: int = 10, batch: int = 48, rate: float = 0.02, decay: float = 0.05, seed: int = 5) -> Network:
     """Fit the network and calibrate it; without both classes every score is 0.5."""
     words = [[bare(w) for w in t.split()] for t in texts]
     toxic, clean = Counter(), Counter()
