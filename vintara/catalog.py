@@ -308,12 +308,12 @@ def _top(order):
 
 @query(_top("published_at DESC, id DESC"))
 def documents_topk_newest(s, sf):
-    return collect.documents_read(docs(s, sf), limit=50, newest_first=True).select("id", "published_at", "text")
+    return collect.documents_read(docs(s, sf), limit=50, newest_first=True, strip_parts=False).select("id", "published_at", "text")
 
 
 @query(_top("published_at, id"))
 def documents_topk_oldest(s, sf):
-    return collect.documents_read(docs(s, sf), limit=50).select("id", "published_at", "text")
+    return collect.documents_read(docs(s, sf), limit=50, strip_parts=False).select("id", "published_at", "text")
 
 
 @query(f"WITH {DOCS} SELECT id, relevance FROM docs WHERE dup_of IS NULL AND relevance >= 0.5")
@@ -327,12 +327,6 @@ def capital_asof(s, sf):
     return collect.capital_as_of(o, published_by="1997-06-30").select("o_orderkey", "t_event", "t_disclosed")
 
 
-@query("WITH n AS (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id) AS r FROM events WHERE event_id % 2 = 1) SELECT user_id, event_type, event_id, value FROM n WHERE r = 1 AND NOT EXISTS (SELECT 1 FROM events e WHERE e.event_id % 40 = 0 AND e.user_id = n.user_id AND e.event_type = n.event_type)")
-def first_wins_insert(s, sf):
-    e = t(s, sf, "events").select("user_id", "event_type", "event_id", "value")
-    return temporal.first_wins(e.where("event_id % 2 = 1"), e.where("event_id % 40 = 0"), ["user_id", "event_type"], "event_id")
-
-
 @query("SELECT user_id, event_type, event_id, value FROM events QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id DESC) = 1")
 def upsert_last_wins(s, sf):
     return temporal.upsert_view(t(s, sf, "events").select("user_id", "event_type", "event_id", "value"), ["user_id", "event_type"], "event_id", ["value"])
@@ -438,7 +432,10 @@ def near_dup_best_match(s, sf):
     return near_dup.best_match(vectors(s, sf), 0.25).withColumn("sim", F.round("sim", 8))
 
 
-@query()
+GREEDY = f"WITH RECURSIVE {VEC}, p AS (SELECT a.id, b.id AS match, round(list_cosine_similarity(a.vec, b.vec), 12) AS sim FROM v a JOIN v b ON a.block = b.block AND b.id < a.id AND abs(date_diff('day', a.day, b.day)) <= 21), near AS (SELECT * FROM p WHERE sim >= 0.25), n AS (SELECT v.id, v.block, row_number() OVER (PARTITION BY v.block ORDER BY v.id) AS rn, COALESCE((SELECT list(match) FROM near WHERE near.id = v.id), []) AS nbrs FROM v), walk AS (SELECT block, CAST(0 AS BIGINT) AS rn, CAST([] AS BIGINT[]) AS roots FROM (SELECT DISTINCT block FROM v) UNION ALL SELECT w.block, n.rn, CASE WHEN list_has_any(w.roots, n.nbrs) THEN w.roots ELSE list_append(w.roots, n.id) END FROM walk w JOIN n ON n.block = w.block AND n.rn = w.rn + 1), last AS (SELECT unnest(arg_max(roots, rn)) AS id FROM walk GROUP BY block) SELECT v.id, CASE WHEN v.id NOT IN (SELECT id FROM last) THEN (SELECT arg_max(match, (sim, match)) FROM near WHERE near.id = v.id AND match IN (SELECT id FROM last)) END AS dup_of FROM v"
+
+
+@query(GREEDY)
 def near_dup_greedy(s, sf):
     return near_dup.mark_greedy(vectors(s, sf), 0.25)
 

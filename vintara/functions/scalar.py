@@ -63,9 +63,44 @@ def patent_ref(patent_id: Column) -> Column:
     return F.when(patent_id.rlike(shape), F.concat_ws(".", *[F.regexp_extract(patent_id, shape, i) for i in (1, 2, 3)]))
 
 
+#: What reads as a number: decimal digits with sign, point and exponent, or a word for infinity or no number; no type suffixes.
+NUMBER = r"(?i)^\s*[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf|infinity|nan)\s*$"
+
+
+def number(text: Column) -> Column:
+    """The double that a text reads as, else null."""
+    return F.when(text.rlike(NUMBER), F.trim(F.regexp_replace(text, r"^\s+|\s+$", "")).try_cast("double"))
+
+
 def is_number(text: Column) -> Column:
     """Whether a text reads as a number."""
-    return text.try_cast("double").isNotNull()
+    return number(text).isNotNull()
+
+
+def strip(text: Column) -> Column:
+    """``text`` without any white space at its ends."""
+    return F.regexp_replace(text, r"^\s+|\s+$", "")
+
+
+def first_of(*values: Column) -> Column:
+    """The first value that is neither null nor the empty text."""
+    return F.coalesce(*[F.nullif(v, F.lit("")) for v in values])
+
+
+def compact_day(text: Column) -> Column:
+    """``YYYYMMDD`` from an ISO day; a compact day stays as it is."""
+    return F.replace(text, F.lit("-"), F.lit(""))
+
+
+def day_of_compact(text: Column) -> Column:
+    """ISO day from the first eight digits of a text; empty where it has fewer, null included."""
+    digits = F.regexp_replace(F.coalesce(text, F.lit("")), r"\D", "")
+    return F.when(F.length(digits) >= 8, F.concat_ws("-", F.substring(digits, 1, 4), F.substring(digits, 5, 2), F.substring(digits, 7, 2))).otherwise(F.lit(""))
+
+
+def fact_number(text: Column) -> Column:
+    """123 from ``fakt123`` in any case, or from ``123``; null where neither."""
+    return F.regexp_extract(strip(text.cast("string")), r"(?i)^(?:fakt)?([+-]?\d+)$", 1).try_cast("long")
 
 
 def cosine(a: Column, b: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalar import canonical_entity, source_rung
+from ..functions.scalar import canonical_entity, source_rung, strip
 from .temporal import OPEN_END, day
 
 # The categorical vocabularies of a fact; any other value is read as null.
@@ -19,12 +19,21 @@ def exclusions_in_force(exclusions: DataFrame, cutoff=None) -> DataFrame:
     return out if cutoff is None else out.where(F.col("t_disclosed").isNotNull() & (F.col("t_disclosed") <= day(cutoff)))
 
 
-def facts_as_of(facts: DataFrame, documents: DataFrame | None = None, exclusions: DataFrame | None = None, cutoff=None, published_by=None, since=None, limit: int | None = None, aliases=None) -> DataFrame:
+def _ordered(df: DataFrame, limit: int | None, newest_first: bool, ordered: bool = False) -> DataFrame:
+    """The first ``limit`` rows by publication and id; without a limit nothing is sorted unless asked for."""
+    if limit is None and not ordered:
+        return df
+    df = df.orderBy(F.desc("published_at"), F.desc("id")) if newest_first else df.orderBy("published_at", "id")
+    return df if limit is None else df.limit(limit)
+
+
+def facts_as_of(facts: DataFrame, documents: DataFrame | None = None, exclusions: DataFrame | None = None, cutoff=None, published_by=None, since=None, limit: int | None = None, aliases=None, ordered: bool = False) -> DataFrame:
     """Facts knowable at a date, without those of duplicate documents and excluded ones.
 
     ``cutoff``: ingested before it; ``published_by``: published at or before it; not both. The
     subject must not be blank. A fact without a document stays. Vocabulary columns, where
     present, keep known values only; ``limit`` applies after the order by publication and id.
+    Without a limit rows come in no order, unless ``ordered``.
     """
     if cutoff is not None and published_by is not None:
         raise ValueError("either cutoff or published_by, not both")
@@ -44,20 +53,25 @@ def facts_as_of(facts: DataFrame, documents: DataFrame | None = None, exclusions
         if c in out.columns:
             out = out.withColumn(c, F.when(F.col(c).isin(known), F.col(c)))
     out = out.withColumn("subject", canonical_entity(F.col("subject"), aliases))
-    out = out.orderBy("published_at", "id")
-    return out if limit is None else out.limit(limit)
+    return _ordered(out, limit, False, ordered)
 
 
-def documents_read(documents: DataFrame, limit: int | None = None, since=None, min_relevance: float | None = None, newest_first: bool = False) -> DataFrame:
-    """Published documents that are no duplicates, oldest or newest first; text is title and text, cut to 2000 characters."""
+def documents_read(documents: DataFrame, limit: int | None = None, since=None, min_relevance: float | None = None, newest_first: bool = False, strip_parts: bool = True) -> DataFrame:
+    """Published documents that are no duplicates; text is title, a point and text, cut to 2000 characters.
+
+    White space at the ends of both parts is dropped, unless told otherwise; without a title
+    the text stands alone, without a text the point stays. With a ``limit`` the oldest or the
+    newest come, in order; without one rows come in no order.
+    """
     out = documents.where("published_at is not null and dup_of is null")
     if since is not None:
         out = out.where(F.col("published_at") >= day(since))
     if min_relevance is not None:
         out = out.where(F.col("relevance") >= min_relevance)
-    out = out.withColumn("text", F.substring(F.concat_ws(". ", F.nullif("title", F.lit("")), F.nullif("text", F.lit(""))), 1, MAX_TEXT))
-    out = out.orderBy(F.desc("published_at"), F.desc("id")) if newest_first else out.orderBy("published_at", "id")
-    return out if limit is None else out.limit(limit)
+    part = lambda c: strip(F.coalesce(c, F.lit(""))) if strip_parts else F.coalesce(c, F.lit(""))
+    both = F.concat(part("title"), F.lit(". "), part("text"))
+    out = out.withColumn("text", F.substring(F.when(part("title") == "", part("text")).otherwise(both), 1, MAX_TEXT))
+    return _ordered(out, limit, newest_first)
 
 
 def capital_as_of(capital: DataFrame, cutoff=None, published_by=None) -> DataFrame:

@@ -6,6 +6,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Vocabularies, forbidden fields and the time roles that each type of table needs.
 STATUS = ["vermutet", "beobachtet", "erwiesen"]
@@ -60,37 +61,63 @@ def validate(rows: DataFrame, contract: TableContract, json_col: str = "row", in
     head = spark.createDataFrame([(-1, f, r) for f, r, _ in own], "row_index long, field string, rule string")
     if own and own[0][1] == "unbekannter-tabellen-typ":
         return head
-    v, has = F.try_parse_json(json_col), lambda k: F.coalesce(F.array_contains(F.json_object_keys(json_col), k), F.lit(False))
-    text = lambda k: F.try_variant_get(v, f"$.{k}", "string")
-    kind_of = lambda k: F.schema_of_variant(F.try_variant_get(v, f"$.{k}", "variant"))
-    missing = lambda k: text(k).isNull() & ~F.coalesce(kind_of(k).rlike("^(ARRAY|OBJECT)"), F.lit(False))
-    number = lambda k: F.coalesce(kind_of(k).rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT)"), F.lit(False))
+    names = sorted({*FORBIDDEN, *TIME_ROLES[contract.art], "kat_id", "version", *(f.name for f in contract.fields)})
+    # a text is parsed once: what stands in an array of one is not inlined into what reads it
+    parsed = rows.select(F.col(index_col).cast("long").alias("row_index"), F.explode(F.array(F.try_parse_json(json_col))).alias("v"))
+    at = lambda k, kind: F.try_variant_get("v", f"$.{k}", kind)
+    seen = parsed.select("row_index", F.inline(F.array(F.struct(*[x for i, k in enumerate(names) for x in (F.schema_of_variant(at(k, "variant")).alias(f"k{i}"), at(k, "string").alias(f"t{i}"))]))))
+    kind_of = {k: F.col(f"k{i}") for i, k in enumerate(names)}
+    text = {k: F.col(f"t{i}") for i, k in enumerate(names)}
+    facts = {k: (kind_of[k].isNotNull(), text[k].isNull() & ~F.coalesce(kind_of[k].rlike("^(ARRAY|OBJECT)"), F.lit(False)), F.coalesce(kind_of[k].rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT)"), F.lit(False)), text[k]) for k in names}
+    found = _broken(seen, contract, facts)
+    return head.union(found) if own else found
+
+
+def _broken(rows: DataFrame, contract: TableContract, facts: dict) -> DataFrame:
+    """``row_index, field, rule`` of the rules that rows break; ``facts`` has per name whether it is there, is null, is a number, and its text."""
+    there_, null_, number_, text_ = ({k: f[i] for k, f in facts.items()} for i in range(4))
     checks = []
     rule = lambda cond, f, r: F.when(cond, F.struct(F.lit(f).alias("field"), F.lit(r).alias("rule")))
     for f in FORBIDDEN:
-        checks.append(rule(has(f), f, "verbotenes-feld"))
+        checks.append(rule(there_[f], f, "verbotenes-feld"))
     for r in TIME_ROLES[contract.art]:
-        checks.append(rule(missing(r) | (text(r) == ""), r, "zeit-spalte-fehlt"))
-    checks.append(rule(has("kat_id") & ~has("version"), "version", "id-version-paarung"))
+        checks.append(rule(null_[r] | F.coalesce(text_[r] == "", F.lit(False)), r, "zeit-spalte-fehlt"))
+    checks.append(rule(there_["kat_id"] & ~there_["version"], "version", "id-version-paarung"))
     for f in contract.fields:
         if f.name in TIME_ROLES[contract.art]:
             continue
-        blank = text(f.name).eqNullSafe(F.lit("")) if f.kind not in ("list", "bool") else F.lit(False)
-        gone = missing(f.name)
+        gone = null_[f.name]
+        blank = text_[f.name].eqNullSafe(F.lit("")) if f.kind not in ("list", "bool") else F.lit(False)
         if not f.nullable:
             checks.append(rule(gone | blank, f.name, "pflichtfeld-fehlt-oder-null"))
         there = ~gone if f.nullable else ~(gone | blank)
         if f.kind in ("ordinal", "status", "enum"):
-            checks.append(rule(there & number(f.name), f.name, "ordinal-als-zahl"))
+            checks.append(rule(there & number_[f.name], f.name, "ordinal-als-zahl"))
             words = STATUS if f.kind == "status" else list(f.enum) if f.enum else None
             if words:
-                checks.append(rule(there & ~number(f.name) & ~text(f.name).isin(words), f.name, "wert-nicht-im-vokabular"))
+                checks.append(rule(there & ~number_[f.name] & ~F.coalesce(text_[f.name].isin(words), F.lit(False)), f.name, "wert-nicht-im-vokabular"))
         if f.kind == "gemessen":
-            checks.append(rule(there & ~number(f.name), f.name, "gemessen-nicht-numerisch"))
-    found = rows.select(F.col(index_col).cast("long").alias("row_index"), F.explode(F.array_compact(F.array(*checks))).alias("x")).select("row_index", "x.field", "x.rule")
-    return head.union(found) if own else found
+            checks.append(rule(there & ~number_[f.name], f.name, "gemessen-nicht-numerisch"))
+    return rows.select("row_index", F.explode(F.array_compact(F.array(*checks))).alias("x")).select("row_index", "x.field", "x.rule")
 
 
 def validate_typed(df: DataFrame, contract: TableContract, index_col: str) -> DataFrame:
-    """``validate`` for typed rows; a null column counts as an absent key."""
-    return validate(df.select(F.col(index_col), F.to_json(F.struct(*[c for c in df.columns if c != index_col])).alias("row")), contract, "row", index_col)
+    """``validate`` for typed rows, by the types of the columns; a null column counts as an absent key.
+
+    Numeric columns are numbers, those that hold NaN among them; booleans and texts are none.
+    """
+    own = contract_violations(contract)
+    head = df.sparkSession.createDataFrame([(-1, f, r) for f, r, _ in own], "row_index long, field string, rule string")
+    if own and own[0][1] == "unbekannter-tabellen-typ":
+        return head
+    kinds = {f.name: f.dataType for f in df.schema.fields if f.name != index_col}
+    facts = {}
+    for k in {*FORBIDDEN, *TIME_ROLES[contract.art], "kat_id", "version", *(f.name for f in contract.fields)}:
+        if k not in kinds:
+            facts[k] = (F.lit(False), F.lit(True), F.lit(False), F.lit(None).cast("string"))
+            continue
+        c, kind = F.col(f"`{k}`"), kinds[k]
+        nested = isinstance(kind, (T.ArrayType, T.MapType, T.StructType, T.BinaryType))
+        facts[k] = (c.isNotNull(), c.isNull(), c.isNotNull() if isinstance(kind, T.NumericType) else F.lit(False), F.lit(None).cast("string") if nested else c.cast("string"))
+    found = _broken(df.withColumn("row_index", F.col(index_col).cast("long")), contract, facts)
+    return head.union(found) if own else found

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.scalar import number
 from .temporal import asof_last_non_null, asof_latest_row, day, stale_filter
 
 FIELDS = ("open", "high", "low", "close", "adjusted_close", "volume")
@@ -58,23 +59,27 @@ def turnover(bars: DataFrame, shares: DataFrame, cutoff, days: int = 90) -> Data
 
 
 def quarter_window(quarters: DataFrame, cutoff, key: str, k: int = 4, gap: tuple[int, int] = (60, 130)) -> DataFrame:
-    """The last ``k`` fiscal periods filed by ``cutoff`` of each key, absent unless each gap between two is within ``gap`` days."""
-    known = quarters.where(F.col("filed") <= day(cutoff))
-    w = Window.partitionBy(key).orderBy(F.desc("fiscal"))
-    last = known.withColumn("rn", F.row_number().over(w)).withColumn("gap", F.datediff(F.lag("fiscal").over(w), F.col("fiscal"))).where(F.col("rn") <= k)
-    good = last.groupBy(key).agg(F.count("*").alias("n"), F.min(F.col("gap").between(*gap) | (F.col("rn") == 1)).alias("ok")).where((F.col("n") == k) & F.col("ok")).select(key)
-    return last.drop("gap").join(good, key, "left_semi")
+    """The last ``k`` fiscal periods filed by ``cutoff`` of each key, absent unless each gap between two is within ``gap`` days.
+
+    One aggregate: the periods of a key, a few hundred at most, are sorted in an array.
+    """
+    rest = [c for c in quarters.columns if c not in (key, "fiscal")]
+    known = quarters.where(F.col("filed") <= day(cutoff)).groupBy(key).agg(F.slice(F.sort_array(F.collect_list(F.struct("fiscal", *rest)), asc=False), 1, k).alias("last"))
+    gaps = F.zip_with(F.slice("last", 1, k - 1), F.slice("last", 2, k - 1), lambda a, b: F.datediff(a["fiscal"], b["fiscal"])) if k > 1 else F.array().cast("array<int>")
+    good = known.where((F.size("last") == k) & F.forall(gaps, lambda g: g.between(*gap)))
+    return good.select(key, F.posexplode("last").alias("_at", "_q")).select(key, "_q.*", (F.col("_at") + 1).alias("rn"))
 
 
 def strict_sum(df: DataFrame, key: str, value: str, out: str) -> DataFrame:
     """Sum per key, null as soon as one value does not read as a number."""
-    v = F.col(value).cast("string").try_cast("double")
+    v = number(F.col(value).cast("string"))
     return df.groupBy(key).agg(F.when(F.count(v) == F.count("*"), F.sum(v)).alias(out))
 
 
 def inventory(bars: DataFrame, fundamentals: DataFrame, meta: DataFrame) -> DataFrame:
     """One row of counts: symbols with bars, fundamentals, meta rows."""
-    return bars.agg(F.countDistinct("symbol").alias("n_symbols")).join(fundamentals.agg(F.count("*").alias("n_fundamentals")), how="cross").join(meta.agg(F.count("*").alias("n_meta")), how="cross")
+    tagged = bars.select(F.lit(0).alias("kind"), "symbol").union(fundamentals.select(F.lit(1), F.lit(None))).union(meta.select(F.lit(2), F.lit(None)))
+    return tagged.agg(F.countDistinct(F.when(F.col("kind") == 0, F.col("symbol"))).alias("n_symbols"), F.count_if(F.col("kind") == 1).alias("n_fundamentals"), F.count_if(F.col("kind") == 2).alias("n_meta"))
 
 
 def freshness(bars: DataFrame) -> DataFrame:
@@ -107,17 +112,33 @@ def priority_union(active: DataFrame, delisted: DataFrame, key: str, seq: str) -
     return both.groupBy(key).agg(*[F.max_by(c, rank).alias(c) for c in cols], F.max_by("delisted", rank).alias("delisted"))
 
 
+def risk_free_rate(curve: DataFrame, asks: DataFrame, tenor: str = "10 Yr") -> DataFrame:
+    """``cutoff, rate``: for each distinct date of ``asks`` the rate of the last day at or before it that has the tenor; null before the first.
+
+    ``curve`` has ``date`` and the map ``rates``. The dates asked for are a small list; days
+    meet them by year, a year without a day at or before the date taking the last one of the
+    years before, as whole years are read one after another.
+    """
+    have = curve.select(F.col("date").cast("date").alias("date"), F.col("rates")[tenor].alias("rate")).where("rate is not null")
+    want = asks.select(F.col("cutoff").cast("date").alias("cutoff")).where("cutoff is not null").distinct()
+    inside = have.join(want, (F.year("date") == F.year("cutoff")) & (F.col("date") <= F.col("cutoff"))).groupBy("cutoff").agg(F.max_by("rate", "date").alias("rate"))
+    before = have.groupBy(F.year("date").alias("y")).agg(F.max_by("rate", "date").alias("before"))
+    last = want.join(before, F.year("cutoff") - 1 == F.col("y"), "left").select("cutoff", "before")
+    return last.join(inside, "cutoff", "left").select("cutoff", F.coalesce("rate", "before").alias("rate"))
+
+
 def window_counts(events: DataFrame, windows: DataFrame, classes: DataFrame, cutoff=None) -> DataFrame:
     """Events of each class in each window ``[since, until)``, zeros kept; with a cut-off only windows that had ended by it.
 
-    ``windows`` and ``classes`` are small lists; events are first counted per class and day.
+    ``windows`` and ``classes`` are small lists; events are first counted per class and day,
+    and days meet the windows that hold them by equality.
     """
     if cutoff is not None:
         windows = windows.where(F.col("until") <= day(cutoff))
     daily = events.groupBy("cls", "datum").agg(F.count("*").alias("c"))
-    grid = windows.join(classes, how="cross")
-    hit = daily.join(F.broadcast(windows), (F.col("datum") >= F.col("since")) & (F.col("datum") < F.col("until"))).groupBy("cls", "since", "until").agg(F.sum("c").alias("c"))
-    return grid.join(hit, ["cls", "since", "until"], "left").select("cls", "since", "until", F.coalesce("c", F.lit(0)).alias("n"))
+    days = windows.where("since < until").select("since", "until", F.explode(F.sequence("since", F.date_sub("until", 1))).alias("datum"))
+    hit = daily.join(days, "datum").groupBy("cls", "since", "until").agg(F.sum("c").alias("c"))
+    return windows.crossJoin(classes).join(hit, ["cls", "since", "until"], "left").select("cls", "since", "until", F.coalesce("c", F.lit(0)).alias("n"))
 
 
 def fallback_lookup(df: DataFrame, pairs: DataFrame, singles: DataFrame, a: str, b: str, value: str) -> DataFrame:

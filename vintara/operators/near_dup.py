@@ -2,69 +2,82 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..shipping import ship
+from ..durable import durable, forget
 
 DAYS = 21
 
 
-def _unit(vec) -> np.ndarray:
-    x = np.array(vec.tolist(), dtype=np.float64)
-    n = np.linalg.norm(x, axis=1, keepdims=True) if len(x) else np.ones((0, 1))
-    return np.divide(x, n, out=np.zeros_like(x), where=n > 0)
-
+def near_pairs(docs: DataFrame, threshold: float, days: int = DAYS) -> DataFrame:
+    """``id, match, sim``: pairs of a document and an earlier one of its block within the days whose cosine reaches the threshold.
 
-def best_match(docs: DataFrame, threshold: float, days: int = DAYS) -> DataFrame:
-    """``id, match, sim``: per document the most similar earlier one of its block within the days, if it reaches the threshold.
-
-    Of equal similarities the highest id wins. Vectors are normalised once; the join is on the
-    block and on day buckets as wide as the window, three per row, so it never pairs whole blocks.
+    Vectors are normalised once; the join is on the block and on day buckets as wide as the
+    window, three per row, so it never pairs whole blocks. Documents without a day, a block or
+    a vector of some length pair with none.
     """
     norm = F.sqrt(F.aggregate("vec", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
     unit = docs.withColumn("_n", norm).where("_n > 0").select("id", "block", "day", F.transform("vec", lambda x: x.cast("double") / F.col("_n")).alias("u"), F.floor(F.datediff("day", F.lit("1970-01-01").cast("date")) / (days + 1)).alias("b"))
     left = unit.select("id", "block", "day", "u", F.explode(F.array(F.col("b") - 1, F.col("b"), F.col("b") + 1)).alias("b"))
     right = unit.select(F.col("id").alias("match"), "block", F.col("day").alias("day2"), F.col("u").alias("u2"), "b")
-    near = left.join(right, ["block", "b"]).where((F.col("match") < F.col("id")) & (F.abs(F.datediff("day", "day2")) <= days))
+    near = left.join(right, ["block", "b"]).where((F.col("match") < F.col("id")) & (F.abs(F.datediff("day", "day2")) <= days) & (F.size("u") == F.size("u2")))
     sim = F.aggregate(F.zip_with("u", "u2", lambda p, q: p * q), F.lit(0.0), lambda s, x: s + x)
-    got = near.select("id", "match", sim.alias("sim")).where(F.col("sim") >= threshold)
-    return got.groupBy("id").agg(F.max_by("match", F.struct("sim", "match")).alias("match"), F.max("sim").alias("sim"))
+    return near.select("id", "match", sim.alias("sim")).where((F.col("sim") >= threshold) & (F.col("sim") > 0))
 
 
-def mark_greedy(docs: DataFrame, threshold: float, days: int = DAYS) -> DataFrame:
-    """``id, dup_of``: documents in id order, each a duplicate of the best earlier one that is none itself, else null.
+def _best(pairs: DataFrame) -> DataFrame:
+    return pairs.groupBy("id").agg(F.max_by("match", F.struct("sim", "match")).alias("match"), F.max("sim").alias("sim"))
+
 
-    The decision on a document depends on all before it in its block, so a block is one group;
-    a block must fit a task, which its source and date range are chosen for.
+def best_match(docs: DataFrame, threshold: float, days: int = DAYS) -> DataFrame:
+    """``id, match, sim``: per document the most similar earlier one of its block within the days, if it reaches the threshold.
+
+    Of equal similarities the highest id wins.
     """
+    return _best(near_pairs(docs, threshold, days))
+
 
-    def block(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("id").reset_index(drop=True)
-        u, day = _unit(pdf["vec"]), pd.to_datetime(pdf["day"]).to_numpy().astype("datetime64[D]").astype(np.int64)
-        ids, out, roots = pdf["id"].to_numpy(), np.full(len(pdf), -1, np.int64), []
-        for i in range(len(pdf)):
-            if roots:
-                r = np.array(roots)
-                r = r[np.abs(day[r] - day[i]) <= days]
-                if len(r):
-                    sim = u[r] @ u[i]
-                    best = len(r) - 1 - int(np.argmax(sim[::-1]))
-                    if sim[best] > 0 and sim[best] >= threshold:
-                        out[i] = ids[r[best]]
-                        continue
-            roots.append(i)
-        return pd.DataFrame({"id": ids, "dup_of": pd.array([None if x < 0 else x for x in out], dtype="Int64")})
-
-    ship(docs.sparkSession)
-    return docs.groupBy("block").applyInPandas(block, "id long, dup_of long")
-
-
-def mean_vector(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Token matrices to sentence vectors: the mean over tokens."""
-    for pdf in batches:
-        yield pd.DataFrame({"id": pdf["id"], "vec": [np.mean(np.array([list(r) for r in m], float), axis=0).tolist() for m in pdf["tokens"]]})
+def mark_greedy(docs: DataFrame, threshold: float, days: int = DAYS, earlier: DataFrame | None = None) -> DataFrame:
+    """``id, dup_of``: documents in id order, each a duplicate of the best earlier one that is none itself, else null.
+
+    ``earlier`` has documents decided in runs before, with ``dup_of``; those that are no
+    duplicates are looked for matches too. Settled in rounds over the table of near pairs: a
+    document is original once all its earlier neighbours are duplicates, and a duplicate once
+    one is original. Each round settles the least open id of every run of neighbours, and all
+    that hangs on it, so rounds are as many as the longest chain of such decisions. Nothing
+    is collected.
+    """
+    cols = ["id", "block", "day", "vec"]
+    known = earlier.where("dup_of is null").select(*cols) if earlier is not None else None
+    pairs = near_pairs(docs.select(*cols) if known is None else docs.select(*cols).union(known), threshold, days)
+    if known is not None:
+        pairs = pairs.join(docs.select("id"), "id", "left_semi")
+    pairs = durable(pairs, "near-pairs")
+    # open: undecided pairs; a match that is no ``id`` of a pair is original
+    rest, roots = pairs.select("id", "match"), None
+    while True:
+        free = durable(rest.select(F.col("match").alias("id")).distinct().join(rest.select("id").distinct(), "id", "left_anti"), "free")
+        gone = durable(rest.join(free.withColumnRenamed("id", "match"), "match", "left_semi").select("id").distinct(), "gone")
+        if gone.isEmpty():
+            forget(free)
+            forget(gone)
+            break
+        roots = free if roots is None else roots.union(free)
+        # pairs of settled duplicates say nothing more; one whose matches are all duplicates is left without pairs and is original
+        left = rest.join(gone, "id", "left_anti")
+        open_ids = left.select("id").distinct()
+        left = left.join(gone.withColumnRenamed("id", "match"), "match", "left_anti")
+        orphans = durable(open_ids.join(left.select("id").distinct(), "id", "left_anti"), "orphans")
+        roots = roots.union(orphans)
+        rest = durable(left.select("id", "match"), "open-pairs")
+    marked = pairs.join(roots.select(F.col("id").alias("match")).distinct(), "match", "left_semi").join(roots.select("id").distinct(), "id", "left_anti") if roots is not None else pairs.where("false")
+    return docs.select("id").join(_best(marked).select("id", F.col("match").alias("dup_of")), "id", "left")
+
+
+def mean_vector(tokens: Column) -> Column:
+    """Token matrix to sentence vector: the mean over tokens; a flat or a ragged matrix, or an empty one, is an error."""
+    width = F.size(F.get(tokens, F.lit(0)))
+    even = (F.size(tokens) > 0) & (width > 0) & F.forall(tokens, lambda r: F.size(r) == width)
+    total = F.aggregate(tokens, F.array_repeat(F.lit(0.0), width), lambda s, r: F.zip_with(s, r, lambda a, b: a + b.cast("double")))
+    return F.when(even, F.transform(total, lambda x: x / F.size(tokens))).otherwise(F.raise_error(F.lit("a token matrix needs rows of one length")).cast("array<double>"))
