@@ -98,7 +98,7 @@ class Network:
         row = np.array([self.vocabulary.get(w, 0) for w in words], np.int64)
         code, first = gram_rows(words)
         count = np.diff(np.append(first, len(code)))
-        mean = np.add.reduceat(self.weights["char"][code], first) / np.sqrt(count)[:, None]
+        mean = np.add.reduceat(self.weights["char"][code], first) / count[:, None]
         return np.concatenate([self.weights["word"][row], mean], 1), row, (code, first)
 
     def projected(self, words: list[str]) -> np.ndarray:
@@ -207,7 +207,7 @@ class Network:
         np.add.at(g["word"], vocab_row, d_vec[:, :WORD_DIM])
         g["word"][0] = 0
         count = np.diff(np.append(first, len(code)))
-        np.add.at(g["char"], code, np.repeat(d_vec[:, WORD_DIM:] / np.sqrt(count)[:, None], count, 0))
+        np.add.at(g["char"], code, np.repeat(d_vec[:, WORD_DIM:] / count[:, None], count, 0))
         return g
 
 
@@ -267,7 +267,7 @@ class Scorer:
         return out
 
 
-def train(texts: list[str], y: np.ndarray, epochs: int = 10, batch: int = 48, rate: float = 0.02, decay: float = 0.05, seed: int = 5) -> Network:
+def train(texts: list[str], y: np.ndarray, epochs: int = 10, batch: int = 48, rate: float = 0.02, decay: float = 0.1, seed: int = 5) -> Network:
     """Fit the network and calibrate it; without both classes every score is 0.5."""
     words = [[bare(w) for w in t.split()] for t in texts]
     toxic, clean = Counter(), Counter()
