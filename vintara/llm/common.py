@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..durable import durable, forget, new_dir, shared_dir  # noqa: F401  the operators take them from here
 from ..shipping import ship
 
 #: The six ASCII characters that separate words for shingles.
@@ -20,62 +19,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``.
-
-    Only where it is unset (tests, single machine) a local folder is chosen and set.
-    """
-    at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not at:
-        import tempfile
-
-        at = "file://" + tempfile.mkdtemp(prefix="vintara-")
-        spark.conf.set("spark.checkpoint.dir", at)
-    return at.rstrip("/")
-
-
-def new_dir(spark: SparkSession, what: str) -> str:
-    """A fresh path below the shared folder; nothing is created yet."""
-    return f"{shared_dir(spark)}/vintara/{what}-{uuid.uuid4().hex}"
-
-
-def durable(df: DataFrame, what: str) -> DataFrame:
-    """Write ``df`` as Parquet below the shared folder and return it read back.
-
-    Cuts the lineage: a lost executor re-reads the files instead of recomputing.
-    """
-    spark = df.sparkSession
-    path = new_dir(spark, what)
-    df.write.option("compression", "zstd").parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    out._vintara_path = path
-    return out
-
-
-def forget(df: DataFrame) -> None:
-    """Delete the files behind a ``durable`` table that nothing will read again."""
-    path = getattr(df, "_vintara_path", None)
-    if path:
-        sc = df.sparkSession.sparkContext
-        p = sc._jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True)
-
-
 def map_pandas(df: DataFrame, fn, schema: str) -> DataFrame:
     """``mapInPandas`` with the package present on the executors."""
     ship(df.sparkSession)
     return df.mapInPandas(fn, schema)
 
 
+#: Most bytes of an Arrow batch of whole texts.
+BATCH_BYTES = 64 << 20
+
+
 def map_arrow(df: DataFrame, fn, schema: str, rows: int = 256) -> DataFrame:
-    """``mapInArrow`` over batches of whole texts: at most ``rows`` rows each, so that long texts fit a worker.
+    """``mapInArrow`` over batches of whole texts: at most ``rows`` rows and about ``BATCH_BYTES`` each, so that long texts fit a worker.
 
-    The setting is the session's; it is lowered only from Spark's default.
+    Both settings are the session's; they are lowered only from Spark's defaults, and stay so.
     """
     spark = df.sparkSession
     ship(spark)
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")) >= 10000:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    most = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None)
+    if most is None or not most.isdigit() or int(most) > BATCH_BYTES:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return df.mapInArrow(fn, schema)
 
 

@@ -239,14 +239,21 @@ class Items:
         w, p = np.concatenate(got_w), np.concatenate(got_p)
         return w, item[p], offset[p]
 
-    def similarity(self, i: int, h: np.ndarray, start: int) -> tuple[float, int]:
-        """Best Jaccard similarity, plain or weighted, of item ``i`` with the item-long windows around ``start``, and its place."""
+    def similarity(self, i: int, h: np.ndarray, start: int, runs: list[int] | None = None) -> tuple[float, int]:
+        """Best Jaccard similarity, plain or weighted, of item ``i`` with the item-long windows around ``start``, and its place; 0 where none can reach ``SIMILARITY``.
+
+        ``runs`` are the shingles of the whole of ``h``, if it has as many words as a shingle.
+        """
         n, slack = self.length[i], max(8, self.length[i] // 4)
         own, weight, total = self.sets[i], self.weight, self.total[i]
         k = min(SHINGLE, n)
         low = max(0, min(start - slack, len(h) - n))
         high = max(low, min(start + slack, len(h) - n))
-        sh = shingles(h[low : high + n], k).tolist()
+        sh = runs[low : high + n - k + 1] if runs is not None and k == SHINGLE else shingles(h[low : high + n], k).tolist()
+        # no window here shares more with the item than all of them do
+        most = own.intersection(sh)
+        if len(most) < SIMILARITY * len(own) - 1e-9 and sum(weight[x] for x in most) < SIMILARITY * total - 1e-9:
+            return 0.0, low
         wide = n - k + 1
         # the window slides by a shingle: counts of its distinct shingles, those of the item and others, plain and by weight
         count: dict[int, int] = {}
@@ -301,6 +308,7 @@ def find_items(docs: list[np.ndarray], items: Items) -> list[tuple[int, int, flo
     """``(document, item, similarity, first word)`` of each item that a document holds, its best place."""
     best: dict[tuple[int, int], tuple[float, int]] = {}
     tried: set[tuple[int, int, int]] = set()
+    runs: dict[int, list[int] | None] = {}
 
     def judge(p: int, i: int, s: int) -> None:
         """Compare item ``i`` with the windows around place ``s`` of part ``p``, once per stretch of eight words."""
@@ -309,7 +317,9 @@ def find_items(docs: list[np.ndarray], items: Items) -> list[tuple[int, int, flo
         if (d, i, guess // 8) in tried or best.get((d, i), (0.0, 0))[0] >= 1.0:
             return
         tried.add((d, i, guess // 8))
-        sim, start = items.similarity(i, docs[d], guess)
+        if d not in runs:
+            runs[d] = shingles(docs[d]).tolist() if len(docs[d]) >= SHINGLE else None
+        sim, start = items.similarity(i, docs[d], guess, runs[d])
         if sim >= SIMILARITY and sim > best.get((d, i), (0.0, 0))[0]:
             best[d, i] = (sim, start)
 

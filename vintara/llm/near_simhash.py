@@ -24,8 +24,8 @@ from .components import connected_components
 from .minhash import similar_links, sketched, verified
 from .simhash import fingerprint, to_hex, votes
 
-#: Sampled fingerprints that shape a tree. They set speed and balance only, never the result.
-SAMPLE = 8192
+#: Sampled fingerprints that shape a tree, at least and per leaf, and the most levels of a tree. They set speed and balance only, never the result.
+SAMPLE, PER_LEAF, DEPTH = 8192, 4, 17
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
@@ -136,8 +136,8 @@ def link_fingerprints(fps: DataFrame, radius: int = 3, trees: int = 2, shard: in
     """
     spark = fps.sparkSession
     n = fps.count()
-    depth = min(14, max(0, int(np.ceil(np.log2(max(1, n / shard))))))
-    sample = np.array([r[0] for r in fps.orderBy(F.xxhash64("fp"), "fp").limit(SAMPLE).collect()], np.int64).view(np.uint64)
+    depth = min(DEPTH, max(0, int(np.ceil(np.log2(max(1, n / shard))))))
+    sample = np.array([r[0] for r in fps.orderBy(F.xxhash64("fp"), "fp").limit(max(SAMPLE, PER_LEAF << depth)).collect()], np.int64).view(np.uint64)
     grown = [VantageTree(sample, m, depth) for m in block_masks(trees)]
     reach = radius // trees
 

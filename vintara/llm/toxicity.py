@@ -1,7 +1,7 @@
 """Operator 10: toxicity by a bidirectional gated recurrent network with attention pooling.
 
 Each word is a vector: an embedding of the word, if the training rows have it often enough,
-beside the mean embedding of the runs of three to five bytes in it. Two gated recurrent layers read a window
+beside the mean embedding of the runs of three and of five bytes in it. Two gated recurrent layers read a window
 of words in both directions, attention pools their states, and a logistic unit scores the
 window. A document is scored on all of its overlapping windows and has the highest score.
 Network and training are numpy; training is multiple-instance: of a toxic document, the
@@ -31,7 +31,7 @@ SAMPLE_PER_CLASS, VOCABULARY = 1000, 4096
 WINDOW, STEP = 64, 48
 HIDDEN, WORD_DIM, CHAR_DIM, BUCKETS = 8, 6, 6, 8192
 #: Lengths of the runs of bytes that a word's spelling is read in.
-GRAMS = (3, 4, 5)
+GRAMS = (3, 5)
 #: Windows that go through the network at a time.
 BATCH = 4096
 
@@ -55,7 +55,7 @@ def gram_rows(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
             for i in range(k):
                 x = (x + flat[at + i]) * np.uint64(0x9E3779B97F4A7C15)
                 x ^= x >> np.uint64(29)
-        codes.append((x % np.uint64(BUCKETS)).astype(np.int64))
+        codes.append((x & np.uint64(BUCKETS - 1)).astype(np.int64))
         owners.append(word[at])
     owner = np.concatenate(owners)
     order = np.argsort(owner, kind="stable")
