@@ -97,7 +97,10 @@ def test_pipeline_fails_closed(spark, tmp_path):
     con = contracts.TableContract("a", "operativ", [contracts.Field("t_ingest", "time"), contracts.Field("x", "gemessen")])
     Pipeline([Step("b", ["a"], "b", lambda i, c: i["a"].drop("seq"), con), Step("a", [], "a", good, con)]).run(store)
     Pipeline([Step("a", [], "a", good, con)]).run(store)
-    assert store.get("a").count() == 2 and store.get("b").count() == 1 and store.get("zz").count() == 0 and store.tables() == ["a", "b"]
+    store.append("n", spark.range(7).repartition(3))
+    store.append("n", spark.range(5).repartition(2))
+    assert sorted(r["seq"] for r in store.get("n").collect()) == list(range(12)) and {r["id"] for r in store.get("n").where("seq >= 7").collect()} == set(range(5))
+    assert store.get("a").count() == 2 and store.get("b").count() == 1 and store.get("zz").count() == 0 and store.tables() == ["a", "b", "n"]
     with pytest.raises(ContractError):
         Pipeline([Step("c", [], "c", lambda i, c: good(i, c).withColumn("t_ingest", F.lit("")), con)]).run(store)
     assert not store.has("c")

@@ -9,6 +9,7 @@ from graphlib import CycleError, TopologicalSorter
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..durable import durable, forget
 from ..operators.contracts import TableContract, validate_typed
 
 
@@ -40,11 +41,22 @@ class Store:
         return fs.exists(p)
 
     def append(self, table: str, rows: DataFrame) -> None:
-        """Append rows with ascending ``seq`` after those that are there."""
+        """Append rows with ``seq`` counted on from the rows that are there, without gaps.
+
+        Rows are numbered by their partitions' sizes, so nothing is sorted into one task. A
+        table has one writer at a time.
+        """
         path = self._path(table)
-        base = self.get(table).agg(F.max("seq")).first()[0] if self.has(table) else None
-        numbered = rows.withColumn("_m", F.monotonically_increasing_id())
-        numbered.withColumn("seq", F.col("_m") + F.lit((base if base is not None else -1) + 1)).drop("_m").write.mode("append").parquet(path)
+        base = self.spark.read.parquet(path).count() if self.has(table) else 0
+        placed = durable(rows.withColumn("_p", F.spark_partition_id()).withColumn("_m", F.monotonically_increasing_id()), "append")
+        sizes = sorted((r["_p"], r["n"], r["m"]) for r in placed.groupBy("_p").agg(F.count("*").alias("n"), F.min("_m").alias("m")).collect())
+        starts, at = [], base
+        for p, n, m in sizes:
+            starts.append((p, at - m))
+            at += n
+        shift = self.spark.createDataFrame(starts, "_p int, _s long")
+        placed.join(F.broadcast(shift), "_p").withColumn("seq", F.col("_m") + F.col("_s")).drop("_p", "_m", "_s").write.mode("append").parquet(path)
+        forget(placed)
 
     def get(self, table: str) -> DataFrame:
         """All rows of a table with their ``seq``; an unknown table has none."""
