@@ -136,6 +136,9 @@ def test_readers(monkeypatch):
     assert slept == [4.5, 30, 4.5, 60, 4.5, 120, 4.5] and len(renewed) == 3
     with pytest.raises(readers.SourceError):
         readers.patiently(fail("bad key"), sleep=slept.append)("k")
+    assert readers.access_token('{"access_token":"t"}') == "t" and readers.basic_auth("a", "b") == {"Authorization": "Basic YTpi"}
+    with pytest.raises(readers.SourceError):
+        readers.access_token("{}")
     clock = [0.0]
     tokens = iter("abc")
     tok = readers.Token(lambda: next(tokens), 10, lambda: clock[0])

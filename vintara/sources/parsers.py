@@ -117,6 +117,28 @@ def yield_curve(rows: DataFrame, tenors: list[str], date: str = "Date") -> DataF
     return rows.where(m.between(1, 12) & d.between(1, 31)).select(iso.alias("date"), rates.alias("rates")).where(F.size("rates") > 0)
 
 
+def curve_lines(payloads: DataFrame, tenors: list[str], col: str = "payload") -> DataFrame:
+    """``yield_curve`` of whole files: tenor columns are found by the header of each, in any order, quoted or not; blank lines are passed over."""
+    lines = F.filter(F.split(col, r"\r?\n"), lambda x: strip(x) != "")
+    fields = lambda x: F.transform(F.split(x, ","), lambda f: strip(F.replace(f, F.lit('"'), F.lit(""))))
+    each = payloads.select(fields(F.get(lines, F.lit(0))).alias("_h"), F.explode(F.slice(lines, 2, F.greatest(F.size(lines) - 1, F.lit(0)))).alias("_l")).select("_h", fields(F.col("_l")).alias("_f"))
+    named = each.select(F.get("_f", F.lit(0)).alias("Date"), *[F.when(F.array_contains("_h", t), F.get("_f", F.array_position("_h", t).cast("int") - 1)).alias(t) for t in tenors])
+    return yield_curve(named, tenors)
+
+
+def observations(payloads: DataFrame, col: str = "payload") -> DataFrame:
+    """``series_id, date, value, realtime_start`` of each observation in answers named by their series."""
+    o = F.explode(F.from_json(col, "observations array<struct<date:string,value:string,realtime_start:string>>")["observations"]).alias("o")
+    return payloads.select(F.col("name").alias("series_id"), o).select("series_id", "o.*")
+
+
+def listed_symbols(payloads: DataFrame, kind: str | None = None, col: str = "payload") -> DataFrame:
+    """``symbol, code, exchange, name, kind, isin, seq`` of listed symbols, of one kind or of all; rows without code or exchange are left out."""
+    rows = payloads.select(F.posexplode(F.from_json(col, "array<struct<Code:string,Exchange:string,Name:string,Type:string,Isin:string>>")).alias("seq", "r"))
+    out = rows.select(symbol_id(F.col("r.Code"), F.col("r.Exchange")).alias("symbol"), F.col("r.Code").alias("code"), F.col("r.Exchange").alias("exchange"), F.col("r.Name").alias("name"), F.col("r.Type").alias("kind"), F.col("r.Isin").alias("isin"), "seq").where("symbol <> ''")
+    return out if kind is None else out.where(F.col("kind") == kind)
+
+
 def price_rows(bars: DataFrame, t_ingest: str, field: str = "adjusted_close") -> DataFrame:
     """``symbol, value, t_event, t_disclosed, t_ingest`` per bar with a date and a price: ``field``, or the close where it is null."""
     value = F.coalesce(F.col(field), F.col("close")).cast("double")

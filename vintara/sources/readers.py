@@ -8,6 +8,7 @@ classes, vintages) are part of the address.
 from __future__ import annotations
 
 import base64
+import hashlib
 import importlib
 import json
 import os
@@ -59,6 +60,16 @@ def from_file(url: str, headers: dict[str, str] | None = None) -> str:
         return f.read().decode()
 
 
+def saved_name(url: str) -> str:
+    """Name under which the answer of an address is saved for ``replay``; keys in the address are part of it."""
+    return hashlib.md5(url.encode()).hexdigest() + ".txt"
+
+
+def replay(url: str, headers: dict[str, str]) -> str:
+    """A transport that reads saved answers below the folder in the header ``folder``, by ``saved_name``."""
+    return from_file(f"{headers['folder'].rstrip('/')}/{saved_name(url)}")
+
+
 def answer(text: str) -> dict | list:
     """The JSON of an answer; refusals, faults and anything else are errors."""
     body = text.strip()
@@ -90,6 +101,24 @@ def basic_auth(user: str, secret: str) -> dict[str, str]:
     return {"Authorization": "Basic " + base64.b64encode(f"{user}:{secret}".encode()).decode()}
 
 
+#: Address and body of the request for a token of the patent source.
+TOKEN_URL, TOKEN_BODY = f"{PATENTS}/auth/accesstoken", "grant_type=client_credentials"
+
+
+def access_token(text: str) -> str:
+    """The token in the answer to a request for one; an answer without it is an error."""
+    data = answer(text)
+    token = data.get("access_token") if isinstance(data, dict) else None
+    if not token:
+        raise SourceError(f"no token in the answer: {text[:120]}")
+    return token
+
+
+def patent_token(user: str, secret: str, timeout: int = 30) -> Token:
+    """Token of the patent source, renewed before it runs out."""
+    return Token(lambda: access_token(curl(TOKEN_URL, basic_auth(user, secret), timeout, TOKEN_BODY)))
+
+
 # --- addresses ---------------------------------------------------------------------------------------------
 
 
