@@ -209,10 +209,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def word_runs(text, k: int = 5):
-    """The set that two texts are compared on, as 64-bit hashes: runs of ``k`` words, or the whole sequence where there are fewer; of a text without words, the hash of none."""
-    w = ascii_words(lower_ascii(text))
-    runs = lambda a: F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(a) - (k - 1))), lambda i: F.xxhash64(F.slice(a, i, F.lit(k))))
-    return F.array_distinct(F.get(F.transform(F.array(w), lambda a: F.when(F.size(a) > k, runs(a)).otherwise(F.array(F.xxhash64(a)))), F.lit(0)))
+    """The set that two texts are compared on, as 64-bit hashes: runs of ``k`` words, or the whole sequence where there are fewer; of a text without words, zero."""
+    runs = F.transform(shingle_structs(ascii_words(lower_ascii(text)), k), lambda s: F.xxhash64(*[s[f"w{i + 1}"] for i in range(k)]))
+    return F.get(F.transform(F.array(F.array_distinct(runs)), lambda a: F.when(F.size(a) == 0, F.array(F.lit(0).cast("long"))).otherwise(a)), F.lit(0))
 
 
 def similar_texts(texts: DataFrame, shingle: int = 5, radius: int = 3, trees: int = 2) -> DataFrame:
