@@ -415,6 +415,37 @@ def violation_summary(s, sf):
     return contracts.validate(_json_rows(s, sf), CONTRACT).groupBy("rule").agg(F.count("*").alias("n"))
 
 
+# --- a cut-off for each row ---------------------------------------------------------------------------------
+
+ASKS = "asks AS (SELECT o_orderkey, o_custkey AS symbol, CAST(o_orderdate AS DATE) AS cutoff FROM orders)"
+
+
+def _asks(s, sf):
+    return t(s, sf, "orders").select("o_orderkey", F.col("o_custkey").alias("symbol"), F.to_date("o_orderdate").alias("cutoff"))
+
+
+@query(f"WITH {BARS}, {ASKS}, b AS (SELECT symbol, datum, close AS value FROM bars WHERE close IS NOT NULL) SELECT o_orderkey, datum, value FROM asks ASOF LEFT JOIN b ON asks.symbol = b.symbol AND asks.cutoff >= b.datum")
+def price_asof_each(s, sf):
+    return market.price_as_of_each(_asks(s, sf), bars(s, sf)).select("o_orderkey", "datum", "value")
+
+
+@query(f"WITH {ASKS}, curve AS (SELECT CAST(o_orderdate AS DATE) AS date, MAX(o_totalprice) AS rate FROM orders WHERE o_orderkey % 7 = 0 GROUP BY 1) SELECT o_orderkey, date, rate FROM asks ASOF LEFT JOIN curve ON asks.cutoff >= curve.date")
+def rate_asof_each(s, sf):
+    curve = t(s, sf, "orders").where("o_orderkey % 7 = 0").groupBy(F.to_date("o_orderdate").alias("date")).agg(F.create_map(F.lit("10 Yr"), F.max("o_totalprice")).alias("rates"))
+    return market.rate_as_of_each(_asks(s, sf), curve).select("o_orderkey", "date", "rate")
+
+
+@query(f"WITH {BARS}, {ASKS}, u AS (SELECT symbol, datum, volume, NULL AS k FROM bars UNION ALL SELECT symbol, cutoff, NULL, o_orderkey FROM asks), w AS (SELECT symbol, k, AVG(volume) OVER (PARTITION BY symbol ORDER BY datum RANGE BETWEEN INTERVAL 90 DAYS PRECEDING AND CURRENT ROW) AS v FROM u) SELECT k AS o_orderkey, round(v / CASE WHEN p_size > 0 THEN p_size END, 8) AS turnover FROM w LEFT JOIN part ON p_partkey = symbol WHERE k IS NOT NULL")
+def turnover_each(s, sf):
+    shares = t(s, sf, "part").select(F.col("p_partkey").alias("symbol"), F.col("p_size").alias("shares"))
+    return market.turnover_each(_asks(s, sf), bars(s, sf), shares).select("o_orderkey", F.round("turnover", 8).alias("turnover"))
+
+
+@query(f"WITH {BARS} SELECT symbol, datum, CAST(SUM(volume) OVER (PARTITION BY symbol ORDER BY datum) AS DOUBLE) AS total FROM bars")
+def volume_running_total(s, sf):
+    return temporal.running_total(bars(s, sf), ["symbol"], "datum", "volume", "total").select("symbol", "datum", "total")
+
+
 # --- vectors, scalars, JSON ---------------------------------------------------------------------------------
 
 VEC = "v AS (SELECT vec_id AS id, label AS block, DATE '2024-01-01' + CAST(vec_id % 365 AS INTEGER) AS day, CAST(embedding AS DOUBLE[]) AS vec FROM embeddings)"

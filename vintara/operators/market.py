@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalar import number
-from .temporal import asof_last_non_null, asof_latest_row, day, stale_filter
+from .temporal import asof_join, asof_last_non_null, asof_latest_row, day, running_total, stale_filter, trailing
 
 FIELDS = ("open", "high", "low", "close", "adjusted_close", "volume")
 
@@ -130,15 +130,40 @@ def risk_free_rate(curve: DataFrame, asks: DataFrame, tenor: str = "10 Yr") -> D
 def window_counts(events: DataFrame, windows: DataFrame, classes: DataFrame, cutoff=None) -> DataFrame:
     """Events of each class in each window ``[since, until)``, zeros kept; with a cut-off only windows that had ended by it.
 
-    ``windows`` and ``classes`` are small lists; events are first counted per class and day,
-    and days meet the windows that hold them by equality.
+    ``windows`` and ``classes`` are small lists. Events are counted per class and day and summed
+    up along the days; a window is the difference of the sums before its two ends, so its length
+    costs nothing. A window that ends before it begins, or lacks an end, counts none.
     """
     if cutoff is not None:
         windows = windows.where(F.col("until") <= day(cutoff))
-    daily = events.groupBy("cls", "datum").agg(F.count("*").alias("c"))
-    days = windows.where("since < until").select("since", "until", F.explode(F.sequence("since", F.date_sub("until", 1))).alias("datum"))
-    hit = daily.join(days, "datum").groupBy("cls", "since", "until").agg(F.sum("c").alias("c"))
-    return windows.crossJoin(classes).join(hit, ["cls", "since", "until"], "left").select("cls", "since", "until", F.coalesce("c", F.lit(0)).alias("n"))
+    daily = events.where("cls is not null and datum is not null").groupBy("cls", "datum").agg(F.count("*").alias("c"))
+    sums = running_total(daily, ["cls"], "datum", "c", "total").select("cls", F.col("datum").alias("last"), "total")
+    grid = windows.crossJoin(classes).select("cls", "since", "until")
+    ends = grid.select("cls", F.explode(F.array("since", "until")).alias("edge")).where("edge is not null").distinct()
+    before = asof_join(ends, sums, ["cls"], "edge", "last", ["total"], strict=True).select("cls", "edge", F.coalesce("total", F.lit(0)).alias("total"))
+    low, high = (before.select("cls", F.col("edge").alias(e), F.col("total").alias(f"_{e}")) for e in ("since", "until"))
+    n = F.greatest(F.coalesce(F.col("_until") - F.col("_since"), F.lit(0)), F.lit(0))
+    return grid.join(low, ["cls", "since"], "left").join(high, ["cls", "until"], "left").select("cls", "since", "until", n.alias("n"))
+
+
+def price_as_of_each(asks: DataFrame, bars: DataFrame, field: str = "close") -> DataFrame:
+    """``asks`` (``symbol, cutoff``, more may follow) with ``datum`` and ``value``: the symbol's last value that is not null at or before the row's cut-off."""
+    if field not in FIELDS:
+        raise ValueError(f"field {field!r} is not one of {FIELDS}")
+    return asof_join(asks, bars.where(F.col(field).isNotNull()).select("symbol", "datum", F.col(field).alias("value")), ["symbol"], "cutoff", "datum", ["value"])
+
+
+def rate_as_of_each(asks: DataFrame, curve: DataFrame, tenor: str = "10 Yr") -> DataFrame:
+    """``asks`` with ``date`` and ``rate`` of the curve's last day at or before the row's ``cutoff`` that has the tenor; for any number of cut-offs."""
+    have = curve.select(F.col("date").cast("date").alias("date"), F.col("rates")[tenor].alias("rate"), F.lit(0).alias("_one")).where("rate is not null")
+    return asof_join(asks.withColumn("_one", F.lit(0)), have, ["_one"], "cutoff", "date", ["rate"]).drop("_one")
+
+
+def turnover_each(asks: DataFrame, bars: DataFrame, shares: DataFrame, days: int = 90) -> DataFrame:
+    """``asks`` with ``turnover``: mean volume of the symbol over the window up to the row's cut-off by shares; null without volume or shares above zero."""
+    mean = trailing(asks, bars.where("volume is not null").select("symbol", "datum", "volume"), ["symbol"], "cutoff", "datum", days, {"_mean": F.avg("volume")})
+    known = shares.where("shares > 0").select("symbol", F.col("shares").alias("_shares"))
+    return mean.join(known, "symbol", "left").select(*asks.columns, (F.col("_mean") / F.col("_shares")).alias("turnover"))
 
 
 def fallback_lookup(df: DataFrame, pairs: DataFrame, singles: DataFrame, a: str, b: str, value: str) -> DataFrame:
