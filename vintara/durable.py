@@ -30,14 +30,15 @@ def new_dir(spark: SparkSession, what: str) -> str:
     return f"{shared_dir(spark)}/vintara/{what}-{uuid.uuid4().hex}"
 
 
-def durable(df: DataFrame, what: str) -> DataFrame:
-    """Write ``df`` as Parquet below the shared folder and return it read back.
+def durable(df: DataFrame, what: str, by: str | None = None) -> DataFrame:
+    """Write ``df`` as Parquet below the shared folder and return it read back; ``by`` a column whose values get folders of their own.
 
     Cuts the lineage: a lost executor re-reads the files instead of recomputing.
     """
     spark = df.sparkSession
     path = new_dir(spark, what)
-    df.write.option("compression", "zstd").parquet(path)
+    write = df.write.option("compression", "zstd")
+    (write if by is None else write.partitionBy(by)).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._vintara_path = path
     return out

@@ -115,19 +115,28 @@ class FetchError(RuntimeError):
     """Too large a share of a batch of requests failed, or a response is not what may be cached."""
 
 
-def fetch(requests: DataFrame, call: Callable[[str], str], key: str = "symbol") -> DataFrame:
+def fetch(requests: DataFrame, call: Callable[[str], str], key: str = "symbol", workers: int | None = None, per_minute: float | None = None) -> DataFrame:
     """``key, data, error``: ``call`` on each request, in tasks; an error becomes a row, not a failed job.
 
     ``call`` gets the key as text and returns a JSON text. Network access, tokens and retries
-    are its own matter (see ``readers``), so that tests inject what they like.
+    are its own matter (see ``readers``), so that tests inject what they like. ``workers`` is the
+    number of tasks; ``per_minute`` a limit for all of them together, which needs ``workers``
+    (a retry of ``call``'s own is not counted: give ``patiently`` no shorter pause).
     """
+    if per_minute is not None and not workers:
+        raise ValueError("a rate needs a number of workers")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyspark import TaskContext
+
+        from .rate import leased
+
+        paced = leased(call, TaskContext.get().partitionId(), workers or 1, per_minute) if per_minute is not None else call
         for pdf in batches:
             data, errors = [], []
             for k in pdf[key]:
                 try:
-                    data.append(call(k))
+                    data.append(paced(k))
                     errors.append(None)
                 except Exception as e:  # noqa: BLE001  a request that fails is counted
                     data.append(None)
@@ -135,7 +144,10 @@ def fetch(requests: DataFrame, call: Callable[[str], str], key: str = "symbol")
             yield pd.DataFrame({key: pdf[key], "data": data, "error": errors})
 
     ship(requests.sparkSession)
-    return requests.select(F.col(key).cast("string").alias(key)).mapInPandas(run, f"{key} string, data string, error string")
+    asked = requests.select(F.col(key).cast("string").alias(key))
+    if workers:
+        asked = asked.repartition(workers)
+    return asked.mapInPandas(run, f"{key} string, data string, error string")
 
 
 def list_only(fetched: DataFrame) -> DataFrame:
@@ -144,24 +156,27 @@ def list_only(fetched: DataFrame) -> DataFrame:
     return fetched.select(*[c for c in fetched.columns if c not in ("data", "error")], F.when(ok, F.col("data")).alias("data"), F.when(ok, F.lit(None)).otherwise(F.coalesce("error", F.lit("not a list"))).alias("error"))
 
 
-def prefetch(asked: DataFrame, log: DataFrame, space: str, call: Callable[[str], str], store: Callable[[DataFrame], None], batch: int = 200, most_errors: float = 0.8, lists: bool = True, progress: Callable[[int, int], None] | None = None, stop: Callable[[], bool] | None = None) -> dict[str, int]:
+def prefetch(asked: DataFrame, log: DataFrame, space: str, call: Callable[[str], str], store: Callable[[DataFrame], None], batch: int = 200, most_errors: float = 0.8, lists: bool = True, progress: Callable[[int, int], None] | None = None, stop: Callable[[], bool] | None = None, workers: int | None = None, per_minute: float | None = None) -> dict[str, int]:
     """Fetch what is not cached, a batch of symbols after another, and ``store`` each batch's rows; an empty list is a success.
 
     More than ``most_errors`` of a batch failing ends the run with an error, with the batches
     before it stored. ``stop`` is asked before each batch; ``progress`` is told after it. Batches are
-    cut by hash, so their size is ``batch`` on average. Returns counts.
+    cut by hash, once, so their size is ``batch`` on average and each reads its own files alone.
+    ``workers`` and ``per_minute`` as of ``fetch``. Returns counts.
     """
     from ..durable import durable, forget
 
     total = asked.select("symbol").distinct().count()
-    open_ = durable(missing(asked, log, space), "to-fetch")
-    n = open_.count()
+    found = durable(missing(asked, log, space), "to-fetch")
+    n = found.count()
     parts = max(1, -(-n // batch))
+    open_ = durable(found.withColumn("part", F.pmod(F.xxhash64("symbol"), F.lit(parts)).cast("int")).repartition("part"), "to-fetch", by="part")
+    forget(found)
     got = {"fetched": 0, "skipped": total - n, "errors": 0, "total": total}
     for i in range(parts if n else 0):
         if stop is not None and stop():
             break
-        rows = fetch(open_.where(F.pmod(F.xxhash64("symbol"), F.lit(parts)) == i), call)
+        rows = fetch(open_.where(F.col("part") == i), call, workers=workers, per_minute=per_minute)
         rows = durable(list_only(rows) if lists else rows, "fetched")
         c = rows.agg(F.count("*").alias("n"), F.count("error").alias("e")).first()
         if c["n"] and c["e"] / c["n"] > most_errors:
@@ -192,6 +207,13 @@ def incomplete(asked: DataFrame, log: DataFrame, space: str, end: str) -> DataFr
     return asked.select("symbol").distinct().join(last.where(F.coalesce(F.col("last") < end, F.lit(True))).select("symbol"), "symbol", "left_semi")
 
 
+def window_of_bars(log: DataFrame, space: str, asked: DataFrame, now: str, start: str | None = None, end: str | None = None, max_age_days: float | None = None) -> DataFrame:
+    """``symbol, date, bar``: bars of the closed window of the symbols asked for, from the cache alone; a symbol without a usable entry has none."""
+    have = read(log, space, now, max_age_days).join(asked.select("symbol").distinct(), "symbol", "left_semi")
+    each = have.select("symbol", F.explode(F.try_variant_get(F.try_parse_json("data"), "$", "array<variant>")).alias("b"))
+    return slice_window(each.select("symbol", F.try_variant_get("b", "$.date", "string").alias("date"), F.to_json("b").alias("bar")), start, end)
+
+
 def bars_of(log: DataFrame, space: str = BARS_NAMESPACE) -> DataFrame:
     """``symbol, bar, seq``: every bar of the cached lists as a JSON text, for ``writers.bar_rows``."""
     each = entries(log, space).select("symbol", F.posexplode(F.try_variant_get(F.try_parse_json("data"), "$", "array<variant>")).alias("seq", "b"))

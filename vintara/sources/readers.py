@@ -256,8 +256,8 @@ class Token:
 def patiently(call: Callable[[str], str], pause: float = 4.5, waits: tuple[float, ...] = (30, 60, 120), sleep: Callable[[float], None] = time.sleep, renew: Callable[[], None] | None = None) -> Callable[[str], str]:
     """``call`` with a pause before each try and, after errors that pass, with longer ones; other errors and the last one stay errors.
 
-    For ``cache.fetch``: each task keeps to the pause, so ``requests`` are coalesced to as many
-    tasks as the source's limit allows. What was fetched is kept by ``cache.prefetch``.
+    For ``cache.fetch``. The pause is each task's own; for one rate of all tasks give ``cache.fetch``
+    or ``cache.prefetch`` ``workers`` and ``per_minute``. What was fetched is kept by ``cache.prefetch``.
     """
 
     def run(k: str) -> str:
