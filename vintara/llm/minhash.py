@@ -1,13 +1,13 @@
 """Similarity join of sets by MinHash sketches, DataFrame expressions only.
 
 A sketch is the ``SKETCH`` smallest hashes of a set, that is, a sample of it under one random
-order that all sets share. Two sets with a Jaccard similarity of 4/5 have one of their first
-``BANDS`` smallest hashes in common but for about 2 in 10,000 such pairs, so each of these is a
-band. A bucket that holds too many sets is split by pairs and then by triples of hashes of the
-first ``DEEP``. In a bucket every set meets the smallest one; in buckets that this does not join
-into one component every two that are not joined meet, in salted blocks. Two that meet are
-compared exactly on the whole sets if half of their sketches agree (all but about 8 in 10,000
-of the pairs at 4/5 do, and more above); only similar pairs leave the join.
+order that all sets share. Each of the first ``BANDS`` smallest hashes is a band: two sets with a
+Jaccard similarity of 4/5 share none of them for fewer than 1 in 10,000 such pairs, at 0.65 for
+about 5 in 1,000. A bucket that holds too many sets is split by pairs and then by triples of
+all hashes of a sketch. In a bucket every set meets the smallest one; in buckets that this does
+not join into one component every two that are not joined meet, in salted blocks. Two that meet
+are compared exactly on the whole sets if enough of their sketches agree; only similar pairs
+leave the join.
 """
 
 from __future__ import annotations
@@ -20,10 +20,10 @@ from .components import connected_components
 
 #: As a fraction: 4/5.
 SIMILARITY = (4, 5)
-#: Smallest hashes that are kept, that are bands by themselves, and that are combined where buckets are full.
-SKETCH, BANDS, DEEP = 8, 4, 6
+#: Smallest hashes that are kept, and combined where buckets are full, and that are bands by themselves.
+SKETCH, BANDS = 8, 5
 #: Most sets of a bucket that is not split further, and sets of a bucket that meet the whole of it in one task.
-FULL, BLOCK = 64, 512
+FULL, BLOCK = 128, 512
 #: Most ids (longs) that are broadcast; beyond it they are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 
@@ -35,10 +35,10 @@ def similar(x, y):
     return (den * F.least(n, m) >= num * F.greatest(n, m)) & ((num + den) * F.size(F.array_intersect(x, y)) >= num * (n + m))
 
 
-def alike(n, m, x, y):
-    """Whether sets of ``n`` and ``m`` members with the sketches ``x`` and ``y`` may be similar: sizes allow it, and half of the smaller sketch is in the other."""
+def alike(n, m, x, y, agree: int = SKETCH // 2):
+    """Whether sets of ``n`` and ``m`` members with the sketches ``x`` and ``y`` may be similar: sizes allow it, and ``agree`` of ``SKETCH`` hashes, or as large a part of the smaller sketch, are in the other."""
     num, den = SIMILARITY
-    need = F.least(F.lit(SKETCH // 2), F.ceil(F.least(F.size(x), F.size(y)) / 2))
+    need = F.ceil(F.least(F.size(x), F.size(y)) * agree / SKETCH)
     shared = F.lit(0)
     for i in range(SKETCH):  # compared one by one, which needs no set to be built
         shared = shared + F.coalesce(F.array_contains(y, F.get(x, F.lit(i))).cast("int"), F.lit(0))
@@ -65,7 +65,9 @@ def _banded(held: DataFrame, scratch: list[DataFrame]) -> DataFrame:
     for last in (False, True):
         if full.isEmpty():
             break
-        more = full.join(held.select("id", F.slice("sk", 1, DEEP).alias("sk")), "id").select("id", "parts", F.explode(F.array_except("sk", "parts")).alias("t"))
+        # a set without a further hash goes on with those that have none either: in its like it has none to share
+        further = F.array_except("sk", "parts")
+        more = full.join(held.select("id", "sk"), "id").select("id", "parts", F.explode(F.when(F.size(further) > 0, further).otherwise(F.array(F.lit(0).cast("long")))).alias("t"))
         keys = more.select("id", F.array_sort(F.concat("parts", F.array("t"))).alias("parts")).withColumn("h", F.xxhash64("parts")).dropDuplicates(["id", "h"])
         level = _buckets(keys, scratch)
         full = level.where(F.col("m") > FULL).select("id", "parts")
@@ -90,13 +92,15 @@ def sketched(rows: DataFrame, members) -> DataFrame:
     return rows.withColumn("_set", members).withColumn("n", F.size("_set")).withColumn("sk", F.slice(F.sort_array("_set"), 1, SKETCH)).drop("_set")
 
 
-def similar_links(rows: DataFrame, members) -> DataFrame:
+def similar_links(rows: DataFrame, members, agree: int = SKETCH // 2) -> DataFrame:
     """``a, b``: verified links between sets of a similarity of at least 4/5.
 
     ``rows`` is a written table with distinct long ids ``id``, ``n`` and ``sk`` (``sketched``) and
-    what ``members`` is made of; it is read more than once. Empty sets are linked to none.
-    Pairs that other links join already may be left out; of all others a pair is missed with
-    the chances named above. An empty table gives an empty table.
+    what ``members`` is made of; it is read more than once. Sketches may be of a sample of the
+    sets, with equal ``n`` and a smaller ``agree``. Empty sets are linked to none. Pairs that other
+    links join already may be left out; of all others a pair is missed with the chances named
+    above, and in full buckets if fewer than three hashes agree. An empty table gives an empty
+    table.
     """
     scratch: list[DataFrame] = []
 
@@ -108,7 +112,7 @@ def similar_links(rows: DataFrame, members) -> DataFrame:
     near = keep(_banded(held, scratch), "near")
     own = keep(_only(held, keep(near.select("id").distinct(), "ids")), "own")
     side = lambda df, s, *more: df.select(*more, *[F.col(c).alias(f"{c}{s}") for c in ("id", "n", "sk", "root", "set", "hs") if c in df.columns])
-    fit = alike(F.col("na"), F.col("nb"), F.col("ska"), F.col("skb"))
+    fit = alike(F.col("na"), F.col("nb"), F.col("ska"), F.col("skb"), agree)
 
     # each member beside its bucket's smallest first: a bucket that this joins needs no more
     first = near.where("id <> a").select("a", F.col("id").alias("b")).distinct().toDF("ida", "idb")
