@@ -41,6 +41,12 @@ def slow_items(docs, items):
     return out
 
 
+def test_op4_word_hashes_of_one_length_are_distinct():
+    words = np.random.default_rng(1).integers(97, 123, (1_000_000, 10), np.uint8)
+    some = {bytes(w).decode() for w in words}
+    assert len({decontaminate.word_hash(w) for w in some}) == len(some)
+
+
 def test_op4_equals_brute_force():
     r = np.random.default_rng(3)
     word = lambda k: " ".join(f"w{int(x)}" for x in r.integers(0, 4000, k))

@@ -18,13 +18,13 @@ shingles. They also stand for items of one word, and for those too long for the
 
 from __future__ import annotations
 
-import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 from itertools import chain, combinations, islice
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
@@ -55,8 +55,7 @@ def word_hash(word: str) -> int:
     bare = word if word.isalnum() else "".join(c for c in word if c.isalnum())
     if not bare:
         return 0
-    raw = bare.lower().encode()
-    return (zlib.crc32(raw) << 32 | zlib.crc32(raw, 0x9E3779B9)) or 1
+    return xxhash.xxh64_intdigest(bare.lower().encode()) or 1
 
 
 def hashes(texts: list[str], memo: Memo) -> list[np.ndarray]:
