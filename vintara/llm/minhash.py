@@ -92,12 +92,13 @@ def sketched(rows: DataFrame, members) -> DataFrame:
     return rows.withColumn("_set", members).withColumn("n", F.size("_set")).withColumn("sk", F.slice(F.sort_array("_set"), 1, SKETCH)).drop("_set")
 
 
-def similar_links(rows: DataFrame, members, agree: int = SKETCH // 2) -> DataFrame:
+def similar_links(rows: DataFrame, members, agree: int = SKETCH // 2, size=None) -> DataFrame:
     """``a, b``: verified links between sets of a similarity of at least 4/5.
 
     ``rows`` is a written table with distinct long ids ``id``, ``n`` and ``sk`` (``sketched``) and
     what ``members`` is made of; it is read more than once. Sketches may be of a sample of the
-    sets, with equal ``n`` and a smaller ``agree``. Empty sets are linked to none. Pairs that other
+    sets, with a smaller ``agree``; ``n`` is then what the column ``size`` gives, made only for sets
+    that meet another. Empty sets are linked to none. Pairs that other
     links join already may be left out; of all others a pair is missed with the chances named
     above, and in full buckets if fewer than three hashes agree. An empty table gives an empty
     table.
@@ -108,9 +109,9 @@ def similar_links(rows: DataFrame, members, agree: int = SKETCH // 2) -> DataFra
         scratch.append(durable(df, what))
         return scratch[-1]
 
-    held = rows.select("id", "n", "sk")
-    near = keep(_banded(held, scratch), "near")
-    own = keep(_only(held, keep(near.select("id").distinct(), "ids")), "own")
+    near = keep(_banded(rows.select("id", "sk"), scratch), "near")
+    # read from the whole rows, as the size may need them
+    own = keep(_only(rows, keep(near.select("id").distinct(), "ids")).select("id", (F.col("n") if size is None else size).alias("n"), "sk"), "own")
     side = lambda df, s, *more: df.select(*more, *[F.col(c).alias(f"{c}{s}") for c in ("id", "n", "sk", "root", "set", "hs") if c in df.columns])
     fit = alike(F.col("na"), F.col("nb"), F.col("ska"), F.col("skb"), agree)
 
@@ -121,7 +122,9 @@ def similar_links(rows: DataFrame, members, agree: int = SKETCH // 2) -> DataFra
     # of a bucket of two there is nothing more to compare
     rest = keep(near.where("m > 2").join(label, "id", "left").select("h", "id", "m", F.coalesce("component", "id").alias("root")), "rooted")
     mixed = rest.groupBy("h").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("h")
-    rest = keep(rest.join(mixed, "h", "left_semi").join(own, "id").withColumn("blocks", F.ceil(F.col("m") / BLOCK).cast("int")), "mixed")
+    rest = keep(rest.join(mixed, "h", "left_semi"), "mixed")
+    of = rest.groupBy("id").agg(F.sort_array(F.collect_set("h")).alias("hs"))  # a few dozen at most
+    rest = keep(rest.join(own.join(of, "id"), "id").withColumn("blocks", F.ceil(F.col("m") / BLOCK).cast("int")), "mixed")
 
     def sides(df: DataFrame):
         """Both sides of a bucket, cut into blocks on the left and copied to each block on the right, and the condition under which two that are not joined meet."""
@@ -129,14 +132,13 @@ def similar_links(rows: DataFrame, members, agree: int = SKETCH // 2) -> DataFra
         y = side(df, "b", "h", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
         return x, y, (x["h"] == y["h"]) & (x["block"] == y["block"]) & (F.col("roota") != F.col("rootb")) & fit
 
-    # members whose sketch is like that of another, then these alone with their sets; only what is similar leaves the second join, and that once
+    # members whose sketch is like that of another, each two in the first bucket that they share, then these alone with their sets; only what is similar leaves the second join
+    once = lambda x: F.get(F.array_intersect("hsa", "hsb"), F.lit(0)) == x["h"]
     x, y, meet = sides(rest)
-    some = keep(x.join(y, meet, "left_semi").select("h", F.col("ida").alias("id")), "some")
-    of = some.groupBy("id").agg(F.sort_array(F.collect_set("h")).alias("hs"))  # a few dozen at most
+    some = keep(x.join(y, meet & once(x), "left_semi").select("h", F.col("ida").alias("id")), "some")
     sets = keep(_only(rows, keep(some.select("id").distinct(), "ids")).select("id", members.alias("set")), "sets")
-    x, y, meet = sides(rest.join(some, ["h", "id"]).join(sets.join(of, "id"), "id"))
-    once = F.get(F.array_intersect("hsa", "hsb"), F.lit(0)) == x["h"]
-    pairs = x.join(y, (F.col("ida") < F.col("idb")) & meet & once & similar(F.col("seta"), F.col("setb")))
+    x, y, meet = sides(rest.join(some, ["h", "id"]).join(sets, "id"))
+    pairs = x.join(y, (F.col("ida") < F.col("idb")) & meet & once(x) & similar(F.col("seta"), F.col("setb")))
     # one link from a member to each component that it is near
     others = durable(pairs.groupBy("idb", "roota").agg(F.min("ida").alias("a")).select("a", F.col("idb").alias("b")), "links")
     for used in scratch:
