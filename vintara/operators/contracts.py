@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -74,7 +74,12 @@ def validate(rows: DataFrame, contract: TableContract, json_col: str = "row", in
 
 
 def _broken(rows: DataFrame, contract: TableContract, facts: dict) -> DataFrame:
-    """``row_index, field, rule`` of the rules that rows break; ``facts`` has per name whether it is there, is null, is a number, and its text."""
+    """``row_index, field, rule`` of the rules that rows break; ``facts`` as of ``_checks``."""
+    return rows.select("row_index", F.explode(_checks(contract, facts)).alias("x")).select("row_index", "x.field", "x.rule")
+
+
+def _checks(contract: TableContract, facts: dict) -> Column:
+    """Array of ``field, rule`` that a row breaks; ``facts`` has per name whether it is there, is null, is a number, and its text."""
     there_, null_, number_, text_ = ({k: f[i] for k, f in facts.items()} for i in range(4))
     checks = []
     rule = lambda cond, f, r: F.when(cond, F.struct(F.lit(f).alias("field"), F.lit(r).alias("rule")))
@@ -98,7 +103,27 @@ def _broken(rows: DataFrame, contract: TableContract, facts: dict) -> DataFrame:
                 checks.append(rule(there & ~number_[f.name] & ~F.coalesce(text_[f.name].isin(words), F.lit(False)), f.name, "wert-nicht-im-vokabular"))
         if f.kind == "gemessen":
             checks.append(rule(there & ~number_[f.name], f.name, "gemessen-nicht-numerisch"))
-    return rows.select("row_index", F.explode(F.array_compact(F.array(*checks))).alias("x")).select("row_index", "x.field", "x.rule")
+    none = F.lit(None).cast("struct<field:string,rule:string>")
+    return F.array_compact(F.array(*checks, none))
+
+
+def _typed_facts(df: DataFrame, contract: TableContract, besides: tuple[str, ...] = ()) -> dict:
+    """The facts of ``_checks`` by the types of columns."""
+    kinds = {f.name: f.dataType for f in df.schema.fields if f.name not in besides}
+    facts = {}
+    for k in {*FORBIDDEN, *TIME_ROLES[contract.art], "kat_id", "version", *(f.name for f in contract.fields)}:
+        if k not in kinds:
+            facts[k] = (F.lit(False), F.lit(True), F.lit(False), F.lit(None).cast("string"))
+            continue
+        c, kind = F.col(f"`{k}`"), kinds[k]
+        nested = isinstance(kind, (T.ArrayType, T.MapType, T.StructType, T.BinaryType))
+        facts[k] = (c.isNotNull(), c.isNull(), c.isNotNull() if isinstance(kind, T.NumericType) else F.lit(False), F.lit(None).cast("string") if nested else c.cast("string"))
+    return facts
+
+
+def broken_rules(df: DataFrame, contract: TableContract) -> Column:
+    """A column of ``df``: the array of ``field, rule`` that a typed row breaks, empty for a good one; needs no other pass over the rows."""
+    return _checks(contract, _typed_facts(df, contract))
 
 
 def validate_typed(df: DataFrame, contract: TableContract, index_col: str) -> DataFrame:
@@ -110,14 +135,6 @@ def validate_typed(df: DataFrame, contract: TableContract, index_col: str) -> Da
     head = df.sparkSession.createDataFrame([(-1, f, r) for f, r, _ in own], "row_index long, field string, rule string")
     if own and own[0][1] == "unbekannter-tabellen-typ":
         return head
-    kinds = {f.name: f.dataType for f in df.schema.fields if f.name != index_col}
-    facts = {}
-    for k in {*FORBIDDEN, *TIME_ROLES[contract.art], "kat_id", "version", *(f.name for f in contract.fields)}:
-        if k not in kinds:
-            facts[k] = (F.lit(False), F.lit(True), F.lit(False), F.lit(None).cast("string"))
-            continue
-        c, kind = F.col(f"`{k}`"), kinds[k]
-        nested = isinstance(kind, (T.ArrayType, T.MapType, T.StructType, T.BinaryType))
-        facts[k] = (c.isNotNull(), c.isNull(), c.isNotNull() if isinstance(kind, T.NumericType) else F.lit(False), F.lit(None).cast("string") if nested else c.cast("string"))
+    facts = _typed_facts(df, contract, (index_col,))
     found = _broken(df.withColumn("row_index", F.col(index_col).cast("long")), contract, facts)
     return head.union(found) if own else found

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import json
+import os
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 from graphlib import CycleError, TopologicalSorter
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..durable import durable, forget
-from ..operators.contracts import TableContract, validate_typed
+from ..operators.contracts import TableContract, broken_rules, contract_violations
 
 
 class ContractError(RuntimeError):
@@ -21,8 +23,22 @@ class ContractError(RuntimeError):
         self.step, self.violations = step, violations
 
 
+class Conflict(RuntimeError):
+    """Other writers were faster, again and again."""
+
+
 class Store:
-    """Append-only Parquet tables below one folder; there is no update and no delete."""
+    """Append-only tables below one folder, with a log of commits; there is no update and no delete.
+
+    ``<table>/data/append=<id>`` has the Parquet files of an append, ``<table>/_log/<version>.json``
+    what it added: per partition of the append the first sequence number and the number of rows.
+    Rows are written first, once; an append then becomes visible, whole, by one new file of the
+    log, which only one of several writers can make. The others number their rows anew behind
+    it and try again, without writing the rows anew. What was broken off before its commit is
+    never read.
+    """
+
+    TRIES = 50
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder.rstrip("/")
@@ -36,37 +52,98 @@ class Store:
         p = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
         return p, p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
 
-    def has(self, table: str) -> bool:
-        p, fs = self._files(self._path(table))
-        return fs.exists(p)
+    def _versions(self, table: str) -> list[int]:
+        p, fs = self._files(f"{self._path(table)}/_log")
+        return sorted(int(s.getPath().getName()[:-5]) for s in fs.listStatus(p) if s.getPath().getName()[:-5].isdigit()) if fs.exists(p) else []
 
-    def append(self, table: str, rows: DataFrame) -> None:
-        """Append rows with ``seq`` counted on from the rows that are there, without gaps.
+    def _log(self, table: str) -> DataFrame:
+        """``append, p, start, rows`` of every commit, a row per partition."""
+        return self.spark.read.schema("append string, p long, start long, rows long").json(f"{self._path(table)}/_log/[0-9]*.json")
 
-        Rows are numbered by their partitions' sizes, so nothing is sorted into one task. A
-        table has one writer at a time.
+    def has(self, table: str) -> bool:
+        return bool(self._versions(table))
+
+    def _make(self, table: str, version: int, text: str) -> bool:
+        """Make the file of a version of the log, unless it is there; one of several writers succeeds."""
+        path = f"{self._path(table)}/_log/{version:020d}.json"
+        p, fs = self._files(path)
+        fs.mkdirs(p.getParent())
+        jvm = self.spark.sparkContext._jvm
+        draft = jvm.org.apache.hadoop.fs.Path(p.getParent(), f".{uuid.uuid4().hex}")
+        out = fs.create(draft, True)
+        out.write(bytearray(text.encode()))
+        out.close()
+        try:
+            if fs.getUri().getScheme() == "file":  # its renames replace what is there
+                os.link(draft.toUri().getPath(), p.toUri().getPath())
+                return True
+            none = jvm.org.apache.hadoop.fs.Options.Rename.NONE
+            rename = self.spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+            rename[0] = none
+            jvm.org.apache.hadoop.fs.FileContext.getFileContext(p.toUri(), self.spark.sparkContext._jsc.hadoopConfiguration()).rename(draft, p, rename)
+            return True
+        except Exception:  # noqa: BLE001  Java's and Python's errors alike: another writer was first, or the store failed
+            if not fs.exists(p):
+                raise
+            return False
+        finally:
+            if fs.exists(draft):
+                fs.delete(draft, False)
+
+    def append(self, table: str, rows: DataFrame, contract: TableContract | None = None) -> int:
+        """Append rows with ``seq`` counted on from the rows that are there, without gaps; returns their number.
+
+        Any number of writers may append at once. With a contract the rows are checked in the
+        same pass that writes them: if one breaks it none becomes visible, what was written
+        stays below ``_quarantine`` with the rules that each row breaks, and ``ContractError``
+        names the first hundred. Rows are numbered by their partitions' sizes, so nothing is
+        sorted into one task. A column ``seq`` of the rows is left out.
         """
-        path = self._path(table)
-        base = self.spark.read.parquet(path).count() if self.has(table) else 0
-        placed = durable(rows.withColumn("_p", F.spark_partition_id()).withColumn("_m", F.monotonically_increasing_id()), "append")
-        sizes = sorted((r["_p"], r["n"], r["m"]) for r in placed.groupBy("_p").agg(F.count("*").alias("n"), F.min("_m").alias("m")).collect())
-        starts, at = [], base
-        for p, n, m in sizes:
-            starts.append((p, at - m))
-            at += n
-        shift = self.spark.createDataFrame(starts, "_p int, _s long")
-        placed.join(F.broadcast(shift), "_p").withColumn("seq", F.col("_m") + F.col("_s")).drop("_p", "_m", "_s").write.mode("append").parquet(path)
-        forget(placed)
+        rows = rows.drop("seq")
+        taken = {"append", "_m", "_broken"} & set(rows.columns)
+        if taken:
+            raise ValueError(f"names that a table keeps for itself: {sorted(taken)}")
+        name, seen = f"a{uuid.uuid4().hex}", Observation()
+        broken = F.array().cast("array<struct<field:string,rule:string>>") if contract is None else broken_rules(rows, contract)
+        marked = rows.withColumn("_broken", broken).withColumn("_m", F.monotonically_increasing_id()).observe(seen, F.count(F.lit(1)).alias("n"), F.count_if(F.size("_broken") > 0).alias("bad"))
+        path = f"{self._path(table)}/data/append={name}"
+        (marked if contract is not None else marked.drop("_broken")).write.parquet(path)
+        if seen.get["bad"]:
+            bad = f"{self._path(table)}/_quarantine/{name}"
+            p, fs = self._files(path)
+            to, _ = self._files(bad)
+            fs.mkdirs(to.getParent())
+            fs.rename(p, to)
+            first = self.spark.read.parquet(bad).where("size(_broken) > 0").orderBy("_m").limit(100).select("_m", F.explode("_broken").alias("x")).select("_m", "x.field", "x.rule").limit(100).collect()
+            raise ContractError(table, first)
+        shift = F.shiftright("_m", 33)
+        sizes = sorted((r["p"], r["n"]) for r in self.spark.read.parquet(path).groupBy(shift.alias("p")).agg(F.count("*").alias("n")).collect())
+        for _ in range(self.TRIES):
+            versions = self._versions(table)
+            at = self._log(table).agg(F.coalesce(F.max(F.col("start") + F.col("rows")), F.lit(0)).alias("n")).first()["n"] if versions else 0
+            lines = []
+            for p, n in sizes or [(-1, 0)]:
+                lines.append(json.dumps({"append": name, "p": p, "start": at, "rows": n}))
+                at += n
+            if self._make(table, versions[-1] + 1 if versions else 0, "\n".join(lines) + "\n"):
+                return sum(n for _, n in sizes)
+        raise Conflict(f"{table}: {self.TRIES} tries")
 
     def get(self, table: str) -> DataFrame:
-        """All rows of a table with their ``seq``; an unknown table has none."""
+        """All committed rows of a table with their ``seq``; an unknown table has none."""
         if not self.has(table):
             return self.spark.createDataFrame([], "seq long")
-        return self.spark.read.option("mergeSchema", "true").parquet(self._path(table))
+        log = self._log(table).select("append", "p", "start").where("p >= 0")
+        data = f"{self._path(table)}/data"
+        rows = self.spark.read.option("mergeSchema", "true").option("basePath", data).parquet(data).drop("_broken")
+        numbered = rows.withColumn("p", F.shiftright("_m", 33)) if "p" not in rows.columns else rows.withColumnRenamed("p", "_own_p").withColumn("p", F.shiftright("_m", 33))
+        out = numbered.join(log, ["append", "p"]).withColumn("seq", F.col("start") + F.col("_m").bitwiseAND(F.lit((1 << 33) - 1))).drop("append", "p", "start", "_m")
+        return out.withColumnRenamed("_own_p", "p") if "_own_p" in out.columns else out
 
     def tables(self) -> list[str]:
         p, fs = self._files(self.folder)
-        return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
+        names = sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
+        return [n for n in names if n.replace("_", "").isalnum() and self.has(n)]
 
 
 @dataclass
@@ -101,12 +178,11 @@ class Pipeline:
 
     def run(self, store: Store, ctx: dict | None = None) -> None:
         for s in self.steps:
-            rows = s.fn({t: store.get(t) for t in s.inputs}, ctx or {}).persist()
+            rows = s.fn({t: store.get(t) for t in s.inputs}, ctx or {})
+            own = contract_violations(s.contract) if s.contract is not None else []
+            if own:
+                raise ContractError(s.name, own)
             try:
-                if s.contract is not None:
-                    bad = validate_typed(rows.withColumn("_i", F.monotonically_increasing_id()), s.contract, "_i").limit(100).collect()
-                    if bad:
-                        raise ContractError(s.name, bad)
-                store.append(s.output, rows)
-            finally:
-                rows.unpersist()
+                store.append(s.output, rows, s.contract)
+            except ContractError as e:
+                raise ContractError(s.name, e.violations) from None
