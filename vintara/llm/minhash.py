@@ -2,12 +2,12 @@
 
 A sketch is the ``SKETCH`` smallest hashes of a set, that is, a sample of it under one random
 order that all sets share. Each of the first ``BANDS`` smallest hashes is a band: two sets with a
-Jaccard similarity of 4/5 share none of them for fewer than 1 in 10,000 such pairs, at 0.65 for
-about 5 in 1,000. A bucket that holds too many sets is split by pairs and then by triples of
-all hashes of a sketch. In a bucket every set meets the smallest one; in buckets that this does
-not join into one component every two that are not joined meet, in salted blocks. Two that meet
-are compared exactly on the whole sets if enough of their sketches agree; only similar pairs
-leave the join.
+Jaccard similarity of 4/5 share none of them for fewer than 1 in 1,000 such pairs. A bucket that
+holds too many sets is split by pairs and then by triples of all hashes of a sketch. In a bucket
+every set meets the smallest one; in buckets that this does not join into one component every
+two that are not joined meet, in salted blocks. Two that meet are compared exactly on the whole
+sets if half of their sketches agree (all but about 8 in 10,000 of the pairs at 4/5 do, and more
+above); only similar pairs leave the join.
 """
 
 from __future__ import annotations
@@ -35,10 +35,10 @@ def similar(x, y):
     return (den * F.least(n, m) >= num * F.greatest(n, m)) & ((num + den) * F.size(F.array_intersect(x, y)) >= num * (n + m))
 
 
-def alike(n, m, x, y, agree: int = SKETCH // 2):
-    """Whether sets of ``n`` and ``m`` members with the sketches ``x`` and ``y`` may be similar: sizes allow it, and ``agree`` of ``SKETCH`` hashes, or as large a part of the smaller sketch, are in the other."""
+def alike(n, m, x, y):
+    """Whether sets of ``n`` and ``m`` members with the sketches ``x`` and ``y`` may be similar: sizes allow it, and half of the smaller sketch is in the other."""
     num, den = SIMILARITY
-    need = F.ceil(F.least(F.size(x), F.size(y)) * agree / SKETCH)
+    need = F.least(F.lit(SKETCH // 2), F.ceil(F.least(F.size(x), F.size(y)) / 2))
     shared = F.lit(0)
     for i in range(SKETCH):  # compared one by one, which needs no set to be built
         shared = shared + F.coalesce(F.array_contains(y, F.get(x, F.lit(i))).cast("int"), F.lit(0))
@@ -92,16 +92,14 @@ def sketched(rows: DataFrame, members) -> DataFrame:
     return rows.withColumn("_set", members).withColumn("n", F.size("_set")).withColumn("sk", F.slice(F.sort_array("_set"), 1, SKETCH)).drop("_set")
 
 
-def similar_links(rows: DataFrame, members, agree: int = SKETCH // 2, size=None) -> DataFrame:
+def similar_links(rows: DataFrame, members) -> DataFrame:
     """``a, b``: verified links between sets of a similarity of at least 4/5.
 
     ``rows`` is a written table with distinct long ids ``id``, ``n`` and ``sk`` (``sketched``) and
-    what ``members`` is made of; it is read more than once. Sketches may be of a sample of the
-    sets, with a smaller ``agree``; ``n`` is then what the column ``size`` gives, made only for sets
-    that meet another. Empty sets are linked to none. Pairs that other
-    links join already may be left out; of all others a pair is missed with the chances named
-    above, and in full buckets if fewer than three hashes agree. An empty table gives an empty
-    table.
+    what ``members`` is made of; it is read more than once. Empty sets are linked to none. Pairs that
+    other links join already may be left out; of all others a pair is missed with the chances
+    named above, and in full buckets if fewer than three hashes agree. An empty table gives an
+    empty table.
     """
     scratch: list[DataFrame] = []
 
@@ -110,10 +108,9 @@ def similar_links(rows: DataFrame, members, agree: int = SKETCH // 2, size=None)
         return scratch[-1]
 
     near = keep(_banded(rows.select("id", "sk"), scratch), "near")
-    # read from the whole rows, as the size may need them
-    own = keep(_only(rows, keep(near.select("id").distinct(), "ids")).select("id", (F.col("n") if size is None else size).alias("n"), "sk"), "own")
+    own = keep(_only(rows.select("id", "n", "sk"), keep(near.select("id").distinct(), "ids")), "own")
     side = lambda df, s, *more: df.select(*more, *[F.col(c).alias(f"{c}{s}") for c in ("id", "n", "sk", "root", "set", "hs") if c in df.columns])
-    fit = alike(F.col("na"), F.col("nb"), F.col("ska"), F.col("skb"), agree)
+    fit = alike(F.col("na"), F.col("nb"), F.col("ska"), F.col("skb"))
 
     # each member beside its bucket's smallest first: a bucket that this joins needs no more
     first = near.where("id <> a").select("a", F.col("id").alias("b")).distinct().toDF("ida", "idb")
