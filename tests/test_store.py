@@ -95,3 +95,25 @@ def test_a_breach_leaves_no_row_and_one_scan(spark, tmp_path):
     kept = spark.read.parquet(f"file://{tmp_path}/s/t/_quarantine/*")
     assert kept.count() == 6 and kept.where("size(_broken) > 1").count() == 2
     assert sorted(r["seq"] for r in store.get("t").collect()) == list(range(6))
+
+
+def test_collector_is_normalised_when_opened(spark, tmp_path):
+    from vintara.operators import collect, market
+    from vintara.sources import parsers, schemas
+
+    name = "collector_opened"
+    tables = schemas.open_collector(spark, name)
+    assert set(tables) == set(schemas.COLLECTOR) and tables["documents"].count() == 0
+    rows = [(1, " EPO ", None), (2, "arxiv", 1), (3, "epo", 1)]
+    own = spark.createDataFrame(rows, "id long, source_type string, dup_of long")
+    spark.table(f"{name}.documents").unionByName(own, allowMissingColumns=True).coalesce(1).write.mode("append").insertInto(f"{name}.documents")
+    for _ in range(2):
+        got = {r["id"]: (r["source_type"], r["dup_of"]) for r in schemas.open_collector(spark, name)["documents"].collect()}
+        assert got == {1: ("patent", None), 2: ("paper", None), 3: ("patent", 1)}
+    assert collect.table_if_there(spark, f"{name}.themes") is None and collect.table_if_there(spark, f"{name}.facts").count() == 0
+    spark.sql(f"DROP DATABASE {name} CASCADE")
+    ret = spark.createDataFrame([("b", 1.0), ("a", 2.0)], "symbol string, ret double")
+    uni = spark.createDataFrame([("b", None, False), ("a", None, True)], "symbol string, category string, delisted boolean")
+    assert [r["category"] for r in market.category_return(ret, uni, ordered=True).collect()] == ["a", "b"]
+    curve = spark.createDataFrame([("02/01/2024", "3"), ("01/05/2024", "4")], "Date string, `10 Yr` string")
+    assert [r["date"] for r in parsers.yield_curve(curve, ["10 Yr"], ordered=True).collect()] == ["2024-01-05", "2024-02-01"]

@@ -246,6 +246,11 @@ def coverage_summary(s, sf):
     return market.coverage_summary(_coverage(s, sf))
 
 
+@query(f"{COVER}, h AS (SELECT * FROM c ORDER BY symbol LIMIT 150), n AS (SELECT COUNT(*) AS n, COUNT(last_date) AS n_prices, COUNT(*) FILTER (has_fundamentals) AS n_fundamentals, COUNT(category) AS n_category FROM c), w AS (SELECT COUNT(*) AS n_counted, COUNT(*) FILTER (last_date IS NOT NULL AND has_fundamentals AND category IS NOT NULL) AS n_complete FROM h) SELECT n.*, w.*, round(100.0 * n_complete / n_counted, 1)::DOUBLE AS percent FROM n, w")
+def coverage_first_rows(s, sf):
+    return market.coverage_summary(_coverage(s, sf), 150)
+
+
 @query(f"WITH {BARS} SELECT MAX(datum) AS last_date, MAX(t_ingest) AS last_ingest FROM bars")
 def freshness(s, sf):
     return market.freshness(bars(s, sf))
@@ -359,6 +364,34 @@ def graduated_themes(s, sf):
     return _evidence(s, sf).where(collect.is_graduated(24)).select("id", "name")
 
 
+KEYWORDS = "CASE n_nationkey % 5 WHEN 0 THEN 'no json' WHEN 1 THEN NULL WHEN 2 THEN '{\"a\": 1}' ELSE '[\"kw ' || n_nationkey || '\", \"\", \"  \", null, \"x\"]' END"
+WORDS = "CASE WHEN n_nationkey % 5 > 2 THEN ['kw ' || n_nationkey, 'x'] ELSE CAST([] AS VARCHAR[]) END"
+
+
+def _worded(s, sf):
+    k = F.col("n_nationkey")
+    words = F.when(k % 5 == 0, F.lit("no json")).when(k % 5 == 1, F.lit(None)).when(k % 5 == 2, F.lit('{"a": 1}')).otherwise(F.concat(F.lit('["kw '), k.cast("string"), F.lit('", "", "  ", null, "x"]')))
+    keys = t(s, sf, "nation").select(k.cast("long").alias("id"), words.alias("keywords"))
+    links = t(s, sf, "documents").select((F.col("doc_id") % 40).alias("theme_id"), "doc_id")
+    return collect.theme_rows(_themes(s, sf).join(keys, "id"), links, docs(s, sf))
+
+
+@query(f"WITH {THEMES} SELECT name, array_to_string({WORDS}, '|') AS keywords, created_by, created_at, evidence FROM th JOIN nation ON n_nationkey = id")
+def theme_rows(s, sf):
+    return _worded(s, sf).withColumn("keywords", F.array_join("keywords", "|"))
+
+
+@query(f"WITH {THEMES} SELECT name, array_to_string(list_concat([name], {WORDS}), '|') AS anchors FROM th JOIN nation ON n_nationkey = id")
+def theme_anchors(s, sf):
+    return collect.anchors(_worded(s, sf)).withColumn("anchors", F.array_join("anchors", "|"))
+
+
+@query(f"WITH {THEMES}, l AS (SELECT c_nationkey AS k, COUNT(*) AS labels FROM customer WHERE c_nationkey % 3 <> 1 GROUP BY 1) SELECT id, name, COALESCE(labels, 0) AS labels FROM th LEFT JOIN l ON k = id WHERE evidence >= 10 AND COALESCE(labels, 0) >= 5")
+def graduated_with_labels(s, sf):
+    labels = t(s, sf, "customer").where("c_nationkey % 3 <> 1").groupBy(F.col("c_nationkey").cast("long").alias("id")).agg(F.count("*").alias("labels"))
+    return _evidence(s, sf).join(labels, "id", "left").where(collect.is_graduated(10, 5)).select("id", "name", F.coalesce("labels", F.lit(0)).alias("labels"))
+
+
 @query(f"WITH {THEMES} SELECT name AS category_id, CASE WHEN evidence >= 5 THEN 'established' WHEN created_by = 'seed' THEN 'emerging' ELSE 'growing' END AS maturity, COALESCE(created_at, DATE '2024-06-30') AS t_valid_from, DATE '9999-12-31' AS t_valid_to, r_name AS rollup FROM th LEFT JOIN (SELECT n_name, r_name FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_regionkey <> 2) ON n_name = name")
 def category_version(s, sf):
     roll = t(s, sf, "nation").where("n_regionkey <> 2").join(t(s, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey")).select(F.col("n_name").alias("name"), F.col("r_name").alias("rollup"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalar import canonical_entity, source_rung, strip
@@ -104,13 +104,35 @@ def normalise_source(documents: DataFrame) -> DataFrame:
     return out.withColumn("dup_of", F.when(~cross, F.col("dup_of"))).drop("_other", "_there").select(*documents.columns)
 
 
-def themes_with_evidence(themes: DataFrame, links: DataFrame, documents: DataFrame) -> DataFrame:
-    """Themes that are not excluded, with the number of linked documents that are no duplicates, zero included."""
-    live = links.join(documents.where("dup_of is not null").select(F.col("id").alias("doc_id")), "doc_id", "left_anti")
-    n = live.groupBy("theme_id").agg(F.count("*").alias("evidence"))
+def table_if_there(spark: SparkSession, name: str) -> DataFrame | None:
+    """A table of the catalog, or None; the readers here take None for a table that a store doesn't have."""
+    return spark.table(name) if spark.catalog.tableExists(name) else None
+
+
+def themes_with_evidence(themes: DataFrame, links: DataFrame, documents: DataFrame | None = None) -> DataFrame:
+    """Themes that are not excluded, with the number of linked documents that are no duplicates, zero included.
+
+    Without ``documents``, or where they have no ``dup_of``, all linked documents count.
+    """
+    if documents is not None and "dup_of" in documents.columns:
+        links = links.join(documents.where("dup_of is not null").select(F.col("id").alias("doc_id")), "doc_id", "left_anti")
+    n = links.groupBy("theme_id").agg(F.count("*").alias("evidence"))
     return themes.where("not excluded").join(n, themes["id"] == n["theme_id"], "left").drop("theme_id").withColumn("evidence", F.coalesce("evidence", F.lit(0)))
 
 
+def theme_keywords(keywords: Column | str) -> Column:
+    """The keywords of a JSON text that are not blank; null, broken JSON and anything but a list have none."""
+    found = F.try_variant_get(F.try_parse_json(keywords), "$", "array<string>")
+    return F.filter(F.coalesce(found, F.array().cast("array<string>")), lambda k: F.coalesce(F.trim(k), F.lit("")) != "")
+
+
+def theme_rows(themes: DataFrame, links: DataFrame, documents: DataFrame | None = None) -> DataFrame:
+    """``name, keywords, created_by, created_at, evidence`` of the themes, by name: keywords read from JSON, no origin counts as seed."""
+    out = themes_with_evidence(themes, links, documents)
+    origin = F.coalesce(F.nullif(F.col("created_by"), F.lit("")), F.lit("seed"))
+    return out.select("name", theme_keywords("keywords").alias("keywords"), origin.alias("created_by"), "created_at", "evidence").orderBy("name")
+
+
 def is_graduated(min_evidence: int = 5, min_labels: int = 0):
     """Whether a theme has the evidence, and the labels where any are asked for; missing counts are zero."""
     ok = F.coalesce("evidence", F.lit(0)) >= min_evidence
@@ -127,5 +149,7 @@ def category_versions(themes: DataFrame, rollup: DataFrame, cutoff=None, version
 
 
 def anchors(themes: DataFrame) -> DataFrame:
-    """``name, anchors``: the name and the keywords that are not blank."""
-    return themes.select("name", F.concat(F.array("name"), F.filter("keywords", lambda k: F.trim(k) != "")).alias("anchors"))
+    """``name, anchors``: the trimmed name and the keywords that are not blank; themes without a name have none."""
+    name = F.trim("name")
+    some = F.filter("keywords", lambda k: F.coalesce(F.trim(k), F.lit("")) != "")
+    return themes.where(F.coalesce(name, F.lit("")) != "").select(name.alias("name"), F.concat(F.array(name), F.coalesce(some, F.array().cast("array<string>"))).alias("anchors"))

@@ -46,10 +46,11 @@ def total_return(bars: DataFrame, field: str = "adjusted_close", fallback: str =
     return got.where("n >= 2 and a <> 0").select("symbol", (F.col("b") / F.col("a") - 1).alias("ret"))
 
 
-def category_return(returns: DataFrame, universe: DataFrame) -> DataFrame:
-    """``category, ret, delisted, n``: equally weighted means; symbols without a category stand for themselves."""
+def category_return(returns: DataFrame, universe: DataFrame, ordered: bool = False) -> DataFrame:
+    """``category, ret, delisted, n``: equally weighted means; symbols without a category stand for themselves. ``ordered``: by category."""
     joined = returns.join(universe, "symbol").withColumn("category", F.coalesce("category", F.col("symbol").cast("string")))
-    return joined.groupBy("category").agg(F.avg("ret").alias("ret"), F.bool_or("delisted").alias("delisted"), F.count("*").alias("n"))
+    out = joined.groupBy("category").agg(F.avg("ret").alias("ret"), F.bool_or("delisted").alias("delisted"), F.count("*").alias("n"))
+    return out.orderBy("category") if ordered else out
 
 
 def turnover(bars: DataFrame, shares: DataFrame, cutoff, days: int = 90) -> DataFrame:
@@ -96,12 +97,26 @@ def coverage(bars: DataFrame, fundamentals: DataFrame, meta: DataFrame) -> DataF
     return out.select("symbol", "last_date", F.coalesce("f", F.lit(False)).alias("has_fundamentals"), "category")
 
 
-def coverage_summary(rows: DataFrame) -> DataFrame:
-    """Counts over coverage rows and the share, in percent, of those that have a bar, fundamentals and a category."""
+def coverage_first(rows: DataFrame, limit: int) -> DataFrame:
+    """The first ``limit`` coverage rows by symbol."""
+    return rows.orderBy("symbol").limit(limit)
+
+
+def coverage_summary(rows: DataFrame, limit: int | None = None) -> DataFrame:
+    """Counts over coverage rows and the share, in percent, of those that have a bar, fundamentals and a category.
+
+    With a limit the complete ones are counted among the first rows by symbol, the share is of
+    those, and ``n_counted`` is their number; the other counts are of all rows.
+    """
     c = lambda cond: F.count_if(cond)
     whole = F.col("last_date").isNotNull() & F.col("has_fundamentals") & F.col("category").isNotNull()
-    got = rows.agg(F.count("*").alias("n"), c(whole).alias("n_complete"), c(F.col("last_date").isNotNull()).alias("n_prices"), c(F.col("has_fundamentals")).alias("n_fundamentals"), c(F.col("category").isNotNull()).alias("n_category"))
-    return got.withColumn("percent", F.when(F.col("n") > 0, F.round(100.0 * F.col("n_complete") / F.col("n"), 1)).otherwise(F.lit(0.0)))
+    every = [F.count("*").alias("n"), c(whole).alias("n_complete"), c(F.col("last_date").isNotNull()).alias("n_prices"), c(F.col("has_fundamentals")).alias("n_fundamentals"), c(F.col("category").isNotNull()).alias("n_category")]
+    share = lambda n: F.when(F.col(n) > 0, F.round(100.0 * F.col("n_complete") / F.col(n), 1)).otherwise(F.lit(0.0))
+    got = rows.agg(*every)
+    if limit is None:
+        return got.withColumn("percent", share("n"))
+    first = coverage_first(rows, limit).agg(F.count("*").alias("n_counted"), c(whole).alias("n_complete"))
+    return got.drop("n_complete").join(F.broadcast(first)).withColumn("percent", share("n_counted"))  # one row each
 
 
 def priority_union(active: DataFrame, delisted: DataFrame, key: str, seq: str) -> DataFrame:

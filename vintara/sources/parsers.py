@@ -103,18 +103,20 @@ def series_observations(obs: DataFrame, series: DataFrame, t_ingest: str) -> Dat
     return obs.join(series.select("series_id", "category_id", "version", "signal"), "series_id").where(v.isNotNull()).select("series_id", "category_id", "version", "signal", F.col("date").alias("t_event"), F.coalesce("realtime_start", "date").alias("t_disclosed"), v.alias("value"), F.lit(t_ingest).alias("t_ingest"))
 
 
-def yield_curve(rows: DataFrame, tenors: list[str], date: str = "Date") -> DataFrame:
+def yield_curve(rows: DataFrame, tenors: list[str], date: str = "Date", ordered: bool = False) -> DataFrame:
     """``date, rates``: percent columns as a map of fractions; entries that are no numbers are left out, rows without any dropped.
 
     Dates are month, day, four-digit year; a month over 12 or a day over 31 is no date. The
     days of a month are not counted, so ``date`` is a text. Tenors without a column are absent.
+    ``ordered``: by date.
     """
     part = lambda i: F.regexp_extract(strip(F.col(date)), r"^(\d+)/(\d+)/(\d{4})$", i)
     m, d = part(1).try_cast("int"), part(2).try_cast("int")
     iso = F.concat_ws("-", part(3), F.lpad(m.cast("string"), 2, "0"), F.lpad(d.cast("string"), 2, "0"))
     have = [t for t in tenors if t in rows.columns]
     rates = F.map_filter(F.map_from_arrays(F.array(*[F.lit(t) for t in have]), F.array(*[number(F.col(f"`{t}`").cast("string")) / 100 for t in have])), lambda k, v: v.isNotNull())
-    return rows.where(m.between(1, 12) & d.between(1, 31)).select(iso.alias("date"), rates.alias("rates")).where(F.size("rates") > 0)
+    out = rows.where(m.between(1, 12) & d.between(1, 31)).select(iso.alias("date"), rates.alias("rates")).where(F.size("rates") > 0)
+    return out.orderBy("date") if ordered else out
 
 
 def curve_lines(payloads: DataFrame, tenors: list[str], col: str = "payload") -> DataFrame:

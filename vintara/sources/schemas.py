@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+from ..operators.collect import normalise_source
 
 # Columns and keys of the stored tables, under English names.
 MARKET = {
@@ -37,3 +39,13 @@ def create_tables(spark: SparkSession, tables: dict[str, tuple[str, tuple[str, .
     for n in made:
         spark.sql(f"CREATE TABLE IF NOT EXISTS `{database}`.`{n}` ({tables[n][0]}) USING parquet")
     return made
+
+
+def open_collector(spark: SparkSession, database: str = "default") -> dict[str, DataFrame]:
+    """The collector's tables by name, made where they are missing; the documents of older stores come with source types as rungs.
+
+    Nothing stored is changed, so opening twice gives the same: normalising is part of the read.
+    """
+    create_tables(spark, COLLECTOR, database)
+    tables = {n: spark.table(f"{database}.{n}") for n in COLLECTOR}
+    return tables | {"documents": normalise_source(tables["documents"])}
