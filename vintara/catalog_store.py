@@ -430,3 +430,17 @@ def pending_items(s, sf):
 def documents_whole(s, sf):
     d = docs(s, sf).withColumn("text", F.when(F.col("id") % 5 != 0, F.col("text")))
     return collect.documents_read(d).select("id", "text")
+
+
+@query("SELECT CAST(user_id AS VARCHAR) AS symbol, arg_max(event_id, (event_id % 3, event_id)) AS event_id, arg_max(value, (event_id % 3, event_id)) AS value FROM events GROUP BY 1")
+def compacted_log(s, sf):
+    from .durable import new_dir
+    from .plans.keyed import KeyedLog
+
+    log = KeyedLog(s, new_dir(s, "keyed"), "symbol", file_rows=200)
+    e = t(s, sf, "events")
+    for k in range(3):  # three batches of upserts, the first two folded into the level, the last read from the log
+        log.append(e.where(F.col("event_id") % 3 == k).select(F.col("user_id").cast("string").alias("symbol"), "event_id", "value").repartitionByRange(4, "event_id").sortWithinPartitions("event_id"))
+        if k < 2:
+            log.compact()
+    return log.lookup().select("symbol", "event_id", "value")
