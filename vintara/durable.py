@@ -7,6 +7,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Whether Spark deletes the shuffle files of a query as it ends, and not when the driver collects its garbage.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
@@ -33,12 +37,18 @@ def new_dir(spark: SparkSession, what: str) -> str:
 def durable(df: DataFrame, what: str, by: str | None = None) -> DataFrame:
     """Write ``df`` as Parquet below the shared folder and return it read back; ``by`` a column whose values get folders of their own.
 
-    Cuts the lineage: a lost executor re-reads the files instead of recomputing.
+    Cuts the lineage: a lost executor re-reads the files instead of recomputing. What the write
+    itself has shuffled is deleted as it ends, since nothing else reads it.
     """
     spark = df.sparkSession
     path = new_dir(spark, what)
     write = df.write.option("compression", "zstd")
-    (write if by is None else write.partitionBy(by)).parquet(path)
+    was = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        (write if by is None else write.partitionBy(by)).parquet(path)
+    finally:
+        spark.conf.unset(_CLEANUP) if was is None else spark.conf.set(_CLEANUP, was)
     out = spark.read.schema(df.schema).parquet(path)
     out._vintara_path = path
     return out
