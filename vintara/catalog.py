@@ -386,10 +386,10 @@ def theme_anchors(s, sf):
     return collect.anchors(_worded(s, sf)).withColumn("anchors", F.array_join("anchors", "|"))
 
 
-@query(f"WITH {THEMES}, l AS (SELECT c_nationkey AS k, COUNT(*) AS labels FROM customer WHERE c_nationkey % 3 <> 1 GROUP BY 1) SELECT id, name, COALESCE(labels, 0) AS labels FROM th LEFT JOIN l ON k = id WHERE evidence >= 10 AND COALESCE(labels, 0) >= 5")
+@query(f"WITH {THEMES}, l AS (SELECT c_nationkey AS k, COUNT(*) AS labels FROM customer WHERE c_nationkey % 3 <> 1 GROUP BY 1) SELECT id, name, COALESCE(labels, 0) AS labels FROM th LEFT JOIN l ON k = id WHERE evidence >= 4 AND COALESCE(labels, 0) >= 3")
 def graduated_with_labels(s, sf):
     labels = t(s, sf, "customer").where("c_nationkey % 3 <> 1").groupBy(F.col("c_nationkey").cast("long").alias("id")).agg(F.count("*").alias("labels"))
-    return _evidence(s, sf).join(labels, "id", "left").where(collect.is_graduated(10, 5)).select("id", "name", F.coalesce("labels", F.lit(0)).alias("labels"))
+    return _evidence(s, sf).join(labels, "id", "left").where(collect.is_graduated(4, 3)).select("id", "name", F.coalesce("labels", F.lit(0)).alias("labels"))
 
 
 @query(f"WITH {THEMES} SELECT name AS category_id, CASE WHEN evidence >= 5 THEN 'established' WHEN created_by = 'seed' THEN 'emerging' ELSE 'growing' END AS maturity, COALESCE(created_at, DATE '2024-06-30') AS t_valid_from, DATE '9999-12-31' AS t_valid_to, r_name AS rollup FROM th LEFT JOIN (SELECT n_name, r_name FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_regionkey <> 2) ON n_name = name")
