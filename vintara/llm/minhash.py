@@ -24,6 +24,8 @@ SIMILARITY = (4, 5)
 SKETCH, BANDS = 8, 5
 #: Most sets of a bucket that is not split further, and sets of a bucket that meet the whole of it in one task.
 FULL, BLOCK = 128, 512
+#: Parts in which whole sets are fetched and compared, one after another, so that the sets of a part alone lie on disk.
+PASSES = 4
 #: Most ids (longs) that are broadcast; beyond it they are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 
@@ -78,12 +80,26 @@ def _banded(held: DataFrame, scratch: list[DataFrame]) -> DataFrame:
 def verified(rows: DataFrame, members, pairs: DataFrame) -> DataFrame:
     """Those of ``pairs`` (``a, b``) whose sets are similar, compared whole; ``rows`` and ``members`` as of ``similar_links``."""
     pairs = durable(pairs, "pairs")
-    ids = durable(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "ids")
-    sets = durable(_only(rows, ids).select("id", members.alias("set")), "sets")
-    beside = pairs.join(sets.select(F.col("id").alias("a"), F.col("set").alias("sa")), "a").join(sets.select(F.col("id").alias("b"), F.col("set").alias("sb")), "b")
-    out = durable(beside.where(similar(F.col("sa"), F.col("sb"))).select("a", "b"), "links")
-    for used in (pairs, ids, sets):
-        forget(used)
+    found = []
+    for k in range(PASSES):
+        own = pairs.where(F.pmod(F.xxhash64("a"), F.lit(PASSES)) == k)
+        ids = durable(own.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "ids")
+        sets = durable(_only(rows, ids).select("id", members.alias("set")), "sets")
+        beside = own.join(sets.select(F.col("id").alias("a"), F.col("set").alias("sa")), "a").join(sets.select(F.col("id").alias("b"), F.col("set").alias("sb")), "b")
+        found.append(durable(beside.where(similar(F.col("sa"), F.col("sb"))).select("a", "b"), "links"))
+        forget(ids)
+        forget(sets)
+    return _together(found, "links", pairs)
+
+
+def _together(parts: list[DataFrame], what: str, *used: DataFrame) -> DataFrame:
+    """One written table of all parts; the parts and what was used for them are deleted."""
+    every = parts[0]
+    for more in parts[1:]:
+        every = every.union(more)
+    out = durable(every, what)
+    for df in (*parts, *used):
+        forget(df)
     return out
 
 
@@ -133,11 +149,18 @@ def similar_links(rows: DataFrame, members) -> DataFrame:
     once = lambda x: F.get(F.array_intersect("hsa", "hsb"), F.lit(0)) == x["h"]
     x, y, meet = sides(rest)
     some = keep(x.join(y, meet & once(x), "left_semi").select("h", F.col("ida").alias("id")), "some")
-    sets = keep(_only(rows, keep(some.select("id").distinct(), "ids")).select("id", members.alias("set")), "sets")
-    x, y, meet = sides(rest.join(some, ["h", "id"]).join(sets, "id"))
-    pairs = x.join(y, (F.col("ida") < F.col("idb")) & meet & once(x) & similar(F.col("seta"), F.col("setb")))
-    # one link from a member to each component that it is near
-    others = durable(pairs.groupBy("idb", "roota").agg(F.min("ida").alias("a")).select("a", F.col("idb").alias("b")), "links")
+    found = []
+    for k in range(PASSES):
+        own = some.where(F.pmod(F.xxhash64("h"), F.lit(PASSES)) == k)
+        ids = durable(own.select("id").distinct(), "ids")
+        sets = durable(_only(rows, ids).select("id", members.alias("set")), "sets")
+        x, y, meet = sides(rest.join(own, ["h", "id"]).join(sets, "id"))
+        pairs = x.join(y, (F.col("ida") < F.col("idb")) & meet & once(x) & similar(F.col("seta"), F.col("setb")))
+        # one link from a member to each component that it is near
+        found.append(durable(pairs.groupBy("idb", "roota").agg(F.min("ida").alias("a")).select("a", F.col("idb").alias("b")), "links"))
+        forget(ids)
+        forget(sets)
+    others = _together(found, "links")
     for used in scratch:
         forget(used)
     return stars.union(others)
