@@ -210,8 +210,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def word_runs(text, k: int = 5):
     """The set that two texts are compared on, as 64-bit hashes: runs of ``k`` words, or the whole sequence where there are fewer; of a text without words, zero."""
-    runs = F.transform(shingle_structs(ascii_words(lower_ascii(text)), k), lambda s: F.xxhash64(*[s[f"w{i + 1}"] for i in range(k)]))
-    return F.get(F.transform(F.array(F.array_distinct(runs)), lambda a: F.when(F.size(a) == 0, F.array(F.lit(0).cast("long"))).otherwise(a)), F.lit(0))
+    # the outer transforms name the words and the runs, which are made once, not once a use
+    made = lambda words: F.array_distinct(F.transform(shingle_structs(words, k), lambda s: F.xxhash64(*[s[f"w{i + 1}"] for i in range(k)])))
+    runs = F.transform(F.array(ascii_words(lower_ascii(text))), made)
+    return F.get(F.transform(runs, lambda a: F.when(F.size(a) == 0, F.array(F.lit(0).cast("long"))).otherwise(a)), F.lit(0))
 
 
 def similar_texts(texts: DataFrame, shingle: int = 5, radius: int = 3, trees: int = 2) -> DataFrame:
