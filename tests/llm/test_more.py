@@ -1,6 +1,7 @@
 """More of the training-data operators: recall at every length, plain scorers, gradients, empty tables, long texts, clashing names."""
 
 import math
+import zlib
 
 import numpy as np
 import pytest
@@ -203,3 +204,20 @@ def test_long_text_beside_null_and_repeats(spark):
 def test_lexicon_words_are_the_most_frequent(spark):
     d = spark.createDataFrame([(1, "a a a a b b b c c d"), (2, "a b e e")], ONE)
     assert sorted(bpe.frequent_words(d, 3)) == ["a", "b"] and sorted(bpe.frequent_words(d, 4)) == ["a", "b", "c", "e"] and bpe.frequent_words(d, 0) == []
+
+
+def test_quality_learns_from_every_label(spark, monkeypatch):
+    """The model and the cut follow from all learnable rows, by a plain fit over the same pairs, and far more rows than 3,000 a class count."""
+    r = np.random.default_rng(4)
+    rows = [(i, "good words stand here " * int(r.integers(1, 9)) if y else "BAD!! #$ " * int(r.integers(1, 9)) + "x" * int(r.integers(0, 30)), y) for i in range(9000) for y in [int(r.random() < 0.5)]]
+    d, lab = spark.createDataFrame([x[:2] for x in rows], "doc_id long, text string"), spark.createDataFrame([(x[0], x[2]) for x in rows], "doc_id long, quality int")
+    seen = []
+    fitted = quality.fit
+    monkeypatch.setattr(quality, "fit", lambda g, *a: seen.append(g.selectExpr("sum(size(y))").first()[0]) or fitted(g, *a))
+    m = quality.learn(d, lab)
+    known = [(x, y) for i, x, y in rows if zlib.crc32(str(i).encode()) % 5]
+    assert seen == [len(known)] and len(known) > 6500
+    x = np.array([quality.features(t) for t, _ in known])
+    assert np.allclose(m.mean, x.mean(0)) and np.allclose(m.scale, np.where(x.std(0) > 1e-9, x.std(0), 1))
+    u, n0 = np.sort(m.utility(x)), sum(y == 0 for _, y in known)
+    assert m.cut == pytest.approx((u[n0 - 1] + u[n0]) / 2)

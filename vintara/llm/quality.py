@@ -2,9 +2,11 @@
 
 A document's utility is a weighted sum of features of its whole text. Weights are learnt
 from preference pairs (a label-1 document is preferred to a label-0 one) by logistic loss on
-the difference of the two feature vectors. The cut is a quantile of the utilities of the
-training rows, each class weighted to its share among all learnable labels: the share of
-label 0. Scores map the cut to 0.3.
+the difference of the two feature vectors. All learnable rows take part: they are dealt to
+groups of about ``GROUP`` rows by a hash, and within a group every label-1 row is compared with
+every label-0 row; each Newton step is one Spark job that adds up gradients and Hessians. The
+cut is an exact quantile of the utilities of all these rows, each class weighted to its share
+among the learnable labels: the share of label 0. Scores map the cut to 0.3.
 """
 
 from __future__ import annotations
@@ -19,11 +21,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_text, map_arrow, table
+from .common import durable, forget, id_text, map_arrow, table
 
 CUT = 0.3
-#: Most labelled rows of each class that the model is fitted on, and preference pairs drawn from them.
-SAMPLE_PER_CLASS, PAIRS = 3000, 40_000
+#: Rows of a group in which all preference pairs are compared; bins and most rows of the last bin of the search for a quantile.
+GROUP, BINS = 256, 1024
 _SYMBOLS = [ord(c) for c in "#$%&*@^~+=<>{}[]\\/_`"]
 _POINTS = [ord(c) for c in ".,;:?'\"()-"]
 FEATURES = 16
@@ -51,14 +53,15 @@ def held_out(doc_id, mod: int = 5, rest: int = 0):
     return F.coalesce(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % mod == rest, F.lit(False))
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, mod: int, rest: int, per_class: int) -> tuple[DataFrame, dict[int, int]]:
-    """``doc_id, text, label`` of at most ``per_class`` learnable rows of each class, and the count of each class among all of them.
-
-    The rows are those of the smallest id hashes. Null ids and labels are passed over; a
-    repeated label row counts once.
-    """
+def learnable(labels: DataFrame, label: str, mod: int, rest: int) -> tuple[DataFrame, dict[int, int]]:
+    """``doc_id, label`` of all rows that may be learnt from, and the count of each class. Null ids and labels are passed over; a repeated row counts once."""
     known = labels.select(F.col("doc_id").alias("doc_id"), F.col(label).cast("int").alias("label")).where(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1)).distinct().where(~held_out(F.col("doc_id"), mod, rest))
-    counts = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    return known, {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, mod: int, rest: int, per_class: int) -> tuple[DataFrame, dict[int, int]]:
+    """``doc_id, text, label`` of at most ``per_class`` learnable rows of each class, those of the smallest id hashes, and the count of each class among all of them."""
+    known, counts = learnable(labels, label, mod, rest)
     picked = [known.where(F.col("label") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class) for y in (0, 1)]
     chosen = picked[0].union(picked[1])  # at most 2 * per_class ids
     return id_text(docs).join(F.broadcast(chosen), "doc_id"), counts
@@ -82,46 +85,110 @@ class PairwiseRanker:
         return 1 / (1 + np.exp(-z))
 
 
-def fit(x: np.ndarray, y: np.ndarray, reject_share: float, pairs: int = PAIRS, l2: float = 1e-3, seed: int = 11) -> PairwiseRanker:
-    """Fit by Newton steps on ``pairs`` random preference pairs; without both classes every score is 0.5."""
-    good, bad = np.flatnonzero(y == 1), np.flatnonzero(y == 0)
-    mean = x.mean(0) if len(x) else np.zeros(FEATURES)
-    scale = np.where((s := x.std(0)) > 1e-9, s, 1.0) if len(x) else np.ones(FEATURES)
-    if not len(good) or not len(bad):
-        return PairwiseRanker(mean, scale, np.zeros(len(mean)), math.log(CUT / (1 - CUT)))
-    rng = np.random.default_rng(seed)
+def group_sums(x: np.ndarray, y: np.ndarray, mean: np.ndarray, scale: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """Number of preference pairs of a group, and over them the summed gradient and Hessian of the logistic loss at ``w``, as one flat array."""
     z = np.clip((x - mean) / scale, -8, 8)
-    d = z[rng.choice(good, pairs)] - z[rng.choice(bad, pairs)]
-    w = np.zeros(z.shape[1])
+    good, bad = z[y == 1], z[y == 0]
+    out = np.zeros(1 + FEATURES + FEATURES * FEATURES)
+    step = max(1, (1 << 20) // max(1, len(bad)))
+    for i in range(0, len(good) if len(bad) else 0, step):
+        part = good[i : i + step]
+        p = 1 / (1 + np.exp(-np.clip((part @ w)[:, None] - (bad @ w)[None, :], -40, 40)))
+        r, v = 1 - p, p * (1 - p)
+        both = part.T @ v @ bad
+        hess = (part.T * v.sum(1)) @ part + (bad.T * v.sum(0)) @ bad - both - both.T
+        out += np.concatenate([[p.size], bad.T @ r.sum(0) - part.T @ r.sum(1), hess.ravel()])
+    return out
+
+
+def _summed(groups: DataFrame, of) -> np.ndarray:
+    """The sum of ``of(x, y)``, a flat array, over all groups; one row a batch comes to the driver."""
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            parts = [of(np.array(x).reshape(-1, FEATURES), np.array(y)) for x, y in zip(b.column("x").to_pylist(), b.column("y").to_pylist())]
+            if parts:
+                yield pa.RecordBatch.from_arrays([pa.array([np.sum(parts, axis=0).tolist()], pa.list_(pa.float64()))], ["s"])
+
+    got = [r["s"] for r in map_arrow(groups, sums, "s array<double>").collect()]
+    return np.array([math.fsum(v) for v in zip(*got)])
+
+
+def fit(groups: DataFrame, reject_share: float, l2: float = 1e-3) -> PairwiseRanker:
+    """Fit by Newton steps on all preference pairs of all ``groups`` (``x``, ``y``: feature vectors in a row, labels); without both classes every score is 0.5."""
+    near = lambda v: np.array([float(f"{a:.11g}") for a in v])  # noqa: E731  sums in another order give the same model
+    start = _summed(groups, lambda x, y: np.concatenate([[(y == 0).sum(), (y == 1).sum()], x.sum(0)]))
+    n_bad, n_good = (int(start[0]), int(start[1])) if len(start) else (0, 0)
+    if not n_bad or not n_good:
+        return PairwiseRanker(np.zeros(FEATURES), np.ones(FEATURES), np.zeros(FEATURES), math.log(CUT / (1 - CUT)))
+    n = n_bad + n_good
+    mean = near(start[2:] / n)
+    spread = np.sqrt(_summed(groups, lambda x, y: ((x - mean) ** 2).sum(0)) / n)
+    scale = near(np.where(spread > 1e-9, spread, 1.0))
+    w = np.zeros(FEATURES)
     for _ in range(25):
-        p = 1 / (1 + np.exp(-np.clip(d @ w, -40, 40)))
-        g = d.T @ (p - 1) / pairs + l2 * w
-        hess = (d * (p * (1 - p))[:, None]).T @ d / pairs + l2 * np.eye(len(w))
-        step = np.linalg.solve(hess, g)
-        w -= step
+        at = w
+        s = _summed(groups, lambda x, y: group_sums(x, y, mean, scale, at))
+        pairs = max(1.0, s[0])
+        step = np.linalg.solve(s[1 + FEATURES :].reshape(FEATURES, FEATURES) / pairs + l2 * np.eye(FEATURES), s[1 : 1 + FEATURES] / pairs + l2 * w)
+        w = w - step
         if np.abs(step).max() < 1e-8:
             break
-    u = z @ w
-    order = np.argsort(u, kind="stable")
-    share = np.where(y == 0, reject_share / len(bad), (1 - reject_share) / len(good))[order]
-    at = int(np.searchsorted(np.cumsum(share), reject_share - 1e-12))
-    cut = float(u[order[at]] + u[order[min(at + 1, len(u) - 1)]]) / 2
-    return PairwiseRanker(mean, scale, w, cut)
+    model = PairwiseRanker(mean, scale, near(w), 0.0)
+
+    def utilities(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for x, y in zip(b.column("x").to_pylist(), b.column("y").to_pylist()):
+                yield pa.RecordBatch.from_arrays([pa.array(model.utility(np.array(x).reshape(-1, FEATURES))), pa.array(y, pa.int32())], ["u", "y"])
+
+    rows = durable(map_arrow(groups, utilities, "u double, y int"), "utilities")
+    model.cut = quantile(rows, reject_share / n_bad, (1 - reject_share) / n_good, reject_share)
+    forget(rows)
+    return model
+
+
+def quantile(rows: DataFrame, w0: float, w1: float, share: float) -> float:
+    """The middle between the first utility ``u`` up to which the rows weigh at least ``share`` (``w0``, ``w1`` by label ``y``) and the next; bins are narrowed, so that no more than ``BINS`` rows come to the driver at a time."""
+    counts = [F.count("*").alias("n"), F.sum((F.col("y") == 0).cast("long")).alias("n0"), F.min("u").alias("low"), F.max("u").alias("high")]
+    low, high = rows.agg(F.min("u"), F.max("u")).first()
+    past0 = past1 = 0
+    after = None
+    while True:
+        part = rows.where(F.col("u").between(low, high))
+        whole = part.count() <= BINS
+        width = (high - low) / BINS
+        name = F.col("u") if whole or not width else F.least(F.floor((F.col("u") - low) / width), F.lit(BINS - 1))
+        bins = part.groupBy(name.alias("b")).agg(*counts).orderBy("b").collect()
+        for i, r in enumerate(bins):
+            total = w0 * (past0 + r["n0"]) + w1 * (past1 + r["n"] - r["n0"])
+            if total >= share - 1e-12 or i == len(bins) - 1:
+                break
+            past0, past1 = past0 + r["n0"], past1 + r["n"] - r["n0"]
+        after = bins[i + 1]["low"] if i + 1 < len(bins) else after
+        if r["low"] == r["high"]:
+            last = w0 if r["n0"] == r["n"] else w1  # of equal utilities the next is the same unless all are needed
+            same = r["n"] > 1 and total - last >= share - 1e-12
+            return r["low"] if same or after is None else (r["low"] + after) / 2
+        low, high = r["low"], r["high"]
 
 
 def learn(docs: DataFrame, labels: DataFrame) -> PairwiseRanker:
-    """Fit on a bounded sample of the learnable labels; only features come to the driver."""
-    sample, counts = labelled_sample(docs, labels, "quality", 5, 0, SAMPLE_PER_CLASS)
+    """Fit on all learnable labels; only sums come to the driver."""
+    known, counts = learnable(labels, "quality", 5, 0)
+    total = sum(counts.values())
+    base = id_text(docs).where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("label"), pa.array([features(t) for t in b.column("text").to_pylist()], pa.list_(pa.float64()))], ["doc_id", "label", "x"])
-
-    kind = dict(sample.dtypes)["doc_id"]
-    got = sorted(map(tuple, map_arrow(sample, vectors, f"doc_id {kind}, label int, x array<double>").collect()))
-    x = np.array([r[2] for r in got]).reshape(len(got), FEATURES)
-    total = sum(counts.values())
-    return fit(x, np.array([r[1] for r in got]), counts.get(0, 0) / total if total else 0.0)
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([features(t) for t in b.column("text").to_pylist()], pa.list_(pa.float64()))], ["doc_id", "x"])
+
+    found = map_arrow(base, vectors, f"doc_id {dict(base.dtypes)['doc_id']}, x array<double>").join(known, "doc_id")
+    group = F.pmod(F.xxhash64("doc_id", "x"), F.lit(max(1, -(-total // GROUP))))
+    sorted_rows = F.sort_array(F.collect_list(F.struct("label", "x")))
+    groups = durable(found.groupBy(group.alias("g")).agg(sorted_rows.alias("rows")).select(F.flatten("rows.x").alias("x"), F.col("rows.label").alias("y")), "preferences")
+    model = fit(groups, counts.get(0, 0) / total if total else 0.0)
+    forget(groups)
+    return model
 
 
 def score_documents(docs: DataFrame, model: PairwiseRanker, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
